@@ -6,16 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fillforge.llm import sql
 from fillforge.llm.minhash import near_duplicates
+from fillforge.llm.mixing import mix_report
+from fillforge.llm.quality import quality_report
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(documents(spark, sf_dir))
+
+
+def op9_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(documents(spark, sf_dir))
 
 
 def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=2, percent=80)
+    return near_duplicates(documents(spark, sf_dir), width=2, percent=80)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_superminhash": op10_superminhash}
+    return {"op8_mix_sources": op8_mix_sources, "op9_host_quality": op9_host_quality, "op10_superminhash": op10_superminhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_mix_sources": sql.MIX, "op9_host_quality": sql.QUALITY}
