@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fillforge.llm import sql
+from fillforge.llm.bpe import bpe
 from fillforge.llm.minhash import near_duplicates
 from fillforge.llm.mixing import mix_report
 from fillforge.llm.quality import quality_report
@@ -16,6 +17,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), digest=True)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir))
 
@@ -29,8 +40,8 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_mix_sources": op8_mix_sources, "op9_host_quality": op9_host_quality, "op10_superminhash": op10_superminhash}
+    return {"op2_bpe_tree": op2_bpe_tree, "op8_mix_sources": op8_mix_sources, "op9_host_quality": op9_host_quality, "op10_superminhash": op10_superminhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mix_sources": sql.MIX, "op9_host_quality": sql.QUALITY}
+    return {"op2_bpe_tree": op2_bpe_tree, "op8_mix_sources": sql.MIX, "op9_host_quality": sql.QUALITY}
