@@ -20,7 +20,7 @@ LEAF = 4096
 #: A text of more characters is dealt out as several rows.
 LONG = 1 << 20
 #: Encoded chunks that a Python worker remembers.
-MEMO = 300_000
+MEMO = 500_000
 
 _coders: dict[str, Coder] = {}
 
@@ -51,6 +51,11 @@ class Coder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex", "")
+        #: Runs of letters are pieces of their own, in lower case: ASCII words need no normalising.
+        self.plain = "Lowercase" in kinds and r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in split
 
     def chunks(self, text: str) -> list[str]:
         """Parts that encode independently. \\x1c-\\x1f are blanks to Python but symbols to the tokenizer."""
@@ -61,15 +66,35 @@ class Coder:
         if len(self.memo) + len(missing) > MEMO:
             self.memo.clear()
             missing = chunks
-        new = [c for c in missing if len(c) <= LEAF]
+        new = [c for c in missing if len(c) <= LEAF and not (self.plain and self.learn_word(c))]
         for c, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self.memo[c] = tuple(e.ids)
 
+    def learn_word(self, chunk: str) -> bool:
+        """Remembers an ASCII word with at most one full stop or comma after it; False for any other chunk."""
+        mark = chunk[-1] if chunk[-1] in ".," else ""
+        word = chunk[: len(chunk) - len(mark)].lower()
+        if not (word.isascii() and word.isalpha()):
+            return False
+        if word not in self.words:
+            if len(self.words) >= MEMO:
+                self.words.clear()
+            self.words[word] = tuple(t.id for t in self.tok.model.tokenize(word))
+        if mark and mark not in self.words:
+            self.words[mark] = tuple(t.id for t in self.tok.model.tokenize(mark))
+        self.memo[chunk] = self.words[word] + self.words[mark] if mark else self.words[word]
+        return True
+
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         split = [self.chunks(t) for t in texts]
         self.learn(set(chain.from_iterable(split)))
-        memo = self.memo
-        return [list(chain.from_iterable(memo[c] if len(c) <= LEAF else self.long_chunk(c) for c in cs)) for cs in split]
+        out = []
+        for cs in split:
+            try:
+                out.append(list(chain.from_iterable(map(self.memo.__getitem__, cs))))
+            except KeyError:  # a chunk too long to be remembered
+                out.append(list(chain.from_iterable(self.memo[c] if c in self.memo else self.long_chunk(c) for c in cs)))
+        return out
 
     def pieces(self, chunk: str) -> list[tuple[str, int | None]]:
         """What the model sees of a chunk: pieces as (string, None), special tokens as (string, id)."""
