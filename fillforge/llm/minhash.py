@@ -156,8 +156,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1. One pass sketches each text. Equal sets fall into one class by their digest, whatever its size.
     2. Classes meet in band buckets; each bucket compares its members with its least one only.
     3. Links are confirmed on full sets, recomputed from one text of each class that stands in a candidate pair.
-    4. Where a bucket still holds several components, pairs across components are tested as well: a link may join
-       two members neither of which is near the bucket's least one.
+    4. Where a bucket still holds several components, a link may join two members neither of which is near the bucket's
+       least one. Such members are compared in blocks on their signatures, those outside a bucket's largest component
+       with all; what is near by them forms families, and within these full sets are compared in blocks the same way.
+       Only edges that join two components leave a block, so no step makes all pairs of a group.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
@@ -172,14 +174,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = staged(components(links), "groups")
 
     placed = members.select("key", F.col("b").alias("node")).join(groups, "node", "left")
-    placed = placed.select("key", "node", F.coalesce("component", "node").alias("c"))
-    several = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    rest = staged(placed.join(several, "key", "left_semi"), "rest")
-    left, right = (rest.select("key", F.col("node").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
-    crossing = left.join(right, "key").where("ca <> cb and a < b").select("a", "b").distinct()
-    crossing = crossing.join(tested, ["a", "b"], "left_anti")
-    more = staged(confirmed(crossing, classes, texts, width, percent), "links")
-    if not more.isEmpty():
+    placed = placed.select(F.col("key").alias("g"), F.col("node").alias("k"), F.coalesce("component", "node").alias("c"))
+    rest = staged(blocks(staged(placed, "placed")).join(classes.select("k", "sig"), "k").select("g", "m", "p", "k", "c", "small", F.col("sig").alias("data")), "rest")
+    near = staged(in_blocks(rest).mapInArrow(near_in_block(floor_of(percent)), EDGE), "near")
+    if not near.isEmpty():
+        families = components(near).select(F.col("component").alias("g"), F.col("node").alias("k"))
+        families = families.join(groups.withColumnRenamed("node", "k"), "k", "left").select("g", "k", F.coalesce("component", "k").alias("c"))
+        apart = staged(blocks(staged(families, "families")), "apart")
+        sets = staged(sets_of(apart.select("k").distinct(), classes, texts, width), "sets")
+        full = apart.join(sets, "k").select("g", "m", "p", "k", "c", "small", F.col("hashes").alias("data"))
+        more = staged(in_blocks(full).mapInArrow(alike_in_block(percent), EDGE), "links")
         groups = staged(components(links.union(more)), "groups")
 
     named = classes.select("k", "d2", "id").join(groups.withColumnRenamed("node", "k"), "k", "left")
@@ -193,21 +197,137 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that reach percent on their full sets.
+def floor_of(percent: int) -> float:
+    """Signatures of sets that reach percent agree in more than this share of the slots: five standard deviations."""
+    return percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / SLOTS) ** 0.5
 
-    Pairs whose signatures agree in too few slots go first: five standard deviations below the threshold.
-    """
-    p = percent / 100
-    floor = p - 5 * (p * (1 - p) / SLOTS) ** 0.5
+
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that reach percent on their full sets; their signatures are compared first."""
     sig = lambda x: classes.select(F.col("k").alias(x), F.col("sig").alias(f"sig_{x}"))
     near = pairs.join(sig("b"), "b").join(sig("a"), "a").select("a", "b", "sig_a", "sig_b")
-    near = staged(near.mapInArrow(near_agreement(floor), "a long, b long"), "candidates")
+    near = staged(near.mapInArrow(near_agreement(floor_of(percent)), EDGE), "candidates")
     keys = near.select(F.col("a").alias("k")).union(near.select(F.col("b").alias("k"))).distinct()
-    ids = classes.join(keys, "k", "left_semi").select("id").distinct()
-    found = texts.join(ids, texts["id"].eqNullSafe(ids["id"]), "left_semi").select("text")
-    sets = staged(found.mapInArrow(full_sets(width), "k long, hashes array<long>").dropDuplicates(["k"]), "sets")
+    sets = staged(sets_of(keys, classes, texts, width), "sets")
     side = lambda x: sets.select(F.col("k").alias(x), F.col("hashes").alias(f"h{x}"))
     both = near.join(side("b"), "b").join(side("a"), "a")
     same = F.size(F.array_intersect("ha", "hb"))
     return both.where(100 * same >= percent * (F.size("ha") + F.size("hb") - same)).select("a", "b")
+
+
+def sets_of(keys: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """The full sets (k, hashes) of the classes in keys, from the text of one document of each."""
+    ids = classes.join(keys, "k", "left_semi").select("id").distinct()
+    found = texts.join(ids, texts["id"].eqNullSafe(ids["id"]), "left_semi").select("text")
+    return found.mapInArrow(full_sets(width), "k long, hashes array<long>").dropDuplicates(["k"])
+
+
+EDGE = "a long, b long"
+SMALL_SIDE, OTHER_SIDE = 128, 512
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """rows (g, k, c): members k of groups g with their components c, to the blocks (g, m, p) in which they are compared.
+
+    Groups of one component go. The members outside a group's largest component are its small side, dealt into parts m;
+    all members are its other side, dealt into parts p. Each block holds one part of either: a member stands in as many
+    blocks as the opposite side has parts. Repeated rows count once.
+    """
+    sized = rows.distinct().groupBy("g", "c").agg(F.count("*").alias("n"))
+    sizes = sized.groupBy("g").agg(F.max(F.struct("n", "c")).alias("big"), F.sum("n").alias("n"), F.count("*").alias("cs")).where("cs > 1")
+    parts = lambda n, size: F.ceil(n / size).cast("int")
+    sizes = sizes.select("g", F.col("big.c").alias("big"), parts(F.col("n") - F.col("big.n"), SMALL_SIDE).alias("ms"), parts(F.col("n"), OTHER_SIDE).alias("ps"))
+    with_sizes = rows.distinct().join(sizes, "g")
+    own = lambda n: F.pmod(F.xxhash64("k"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    small = with_sizes.where("c <> big").select("g", own("ms").alias("m"), every("ps").alias("p"), "k", "c", F.lit(True).alias("small"))
+    other = with_sizes.select("g", every("ms").alias("m"), own("ps").alias("p"), "k", "c", F.lit(False).alias("small"))
+    return small.union(other)
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "g", "m", "p").sortWithinPartitions("g", "m", "p")
+
+
+def each_block(batches):
+    """The blocks of a partition sorted by (g, m, p), as tables; one block is held at a time."""
+    held, key = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("g", "m", "p")])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            now = tuple(keys[:, lo])
+            if now != key and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = now
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def joining(hits):
+    """Of the edges (x, y), those that join two parts that the earlier ones left apart."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for x, y in hits:
+        a, b = top(x), top(y)
+        if a != b:
+            up[a] = b
+            yield x, y
+
+
+def edges_of(found) -> pa.RecordBatch:
+    found = list(found)
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+
+def near_in_block(floor: float):
+    """Edges that join what is near by signature, across components."""
+
+    def hits(t: pa.Table):
+        k, c, small = (t.column(x).to_numpy() for x in ("k", "c", "small"))
+        sig = np.frombuffer(b"".join(t.column("data").to_pylist()), np.uint8).reshape(-1, SLOTS)
+        others = np.flatnonzero(~small)
+        for i in np.flatnonzero(small).tolist():
+            same = (sig[others] == sig[i]).mean(axis=1)
+            for j in others[(same >= floor) & (c[others] != c[i])].tolist():
+                yield int(k[i]), int(k[j])
+
+    def run(batches):
+        for t in each_block(batches):
+            yield edges_of(joining(hits(t)))
+
+    return run
+
+
+def alike_in_block(percent: int):
+    """Edges that join components by links confirmed on full sets."""
+
+    def hits(t: pa.Table):
+        k, c, small = (t.column(x).to_numpy() for x in ("k", "c", "small"))
+        data = t.column("data").combine_chunks()
+        flat, off = data.values.to_numpy(), data.offsets.to_numpy()
+        sizes = np.diff(off)
+        for i in np.flatnonzero(small).tolist():
+            own = flat[off[i] : off[i + 1]]
+            own = np.sort(own)
+            at = np.minimum(np.searchsorted(own, flat[off[0] : off[-1]]), len(own) - 1)
+            common = np.add.reduceat((own[at] == flat[off[0] : off[-1]]).astype(np.int64), off[:-1] - off[0])
+            link = (100 * common >= percent * (sizes + len(own) - common)) & (c != c[i])
+            for j in np.flatnonzero(link).tolist():
+                yield int(c[i]), int(c[j])
+
+    def run(batches):
+        for t in each_block(batches):
+            yield edges_of(joining(hits(t)))
+
+    return run

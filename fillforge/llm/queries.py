@@ -10,6 +10,7 @@ from fillforge.llm import sql
 from fillforge.llm.bpe import bpe
 from fillforge.llm.minhash import near_duplicates
 from fillforge.llm.mixing import mix_report
+from fillforge.llm.passages import passage_report
 from fillforge.llm.quality import quality_report
 
 
@@ -27,6 +28,10 @@ def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), digest=True)
 
 
+def op5_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_report(documents(spark, sf_dir))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir))
 
@@ -40,7 +45,7 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe_tree": op2_bpe_tree, "op8_mix_sources": op8_mix_sources, "op9_host_quality": op9_host_quality, "op10_superminhash": op10_superminhash}
+    return {"op2_bpe_tree": op2_bpe_tree, "op5_chained_passages": op5_chained_passages, "op8_mix_sources": op8_mix_sources, "op9_host_quality": op9_host_quality, "op10_superminhash": op10_superminhash}
 
 
 def oracle_sql() -> dict[str, str]:
