@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fillforge.llm import sql
 from fillforge.llm.bpe import bpe
+from fillforge.llm.licenses import license_scan
 from fillforge.llm.minhash import near_duplicates
 from fillforge.llm.mixing import mix_report
 from fillforge.llm.passages import passage_report
 from fillforge.llm.quality import quality_report
+from fillforge.llm.tokenfiles import token_file_report
+from fillforge.llm.weaklabels import quality_scores
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,14 +27,26 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir))
+
+
 def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), digest=True)
 
 
+def op4_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir))
+
+
 def op5_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_report(documents(spark, sf_dir))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_report(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir))
 
@@ -45,7 +60,8 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe_tree": op2_bpe_tree, "op5_chained_passages": op5_chained_passages, "op8_mix_sources": op8_mix_sources, "op9_host_quality": op9_host_quality, "op10_superminhash": op10_superminhash}
+    found = (op1_weak_labels, op2_bpe_tree, op4_license_index, op5_chained_passages, op7_token_files, op8_mix_sources, op9_host_quality, op10_superminhash)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
