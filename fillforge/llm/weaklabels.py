@@ -36,51 +36,69 @@ def share(part: float, whole: float) -> float:
     return part / whole if whole else 0.0
 
 
-def vote(x: float, good_to: float, bad_from: float) -> int:
-    return GOOD if x <= good_to else BAD if x >= bad_from else ABSTAIN
+def bad_from(x: float, limit: float) -> int:
+    return BAD if x >= limit else ABSTAIN
 
 
-def v_length(t: Look) -> int:
-    return BAD if t.n < 20 else GOOD if t.n >= 80 else ABSTAIN
+def v_empty(t: Look) -> int:
+    return BAD if t.n < 3 else ABSTAIN
 
 
 def v_symbols(t: Look) -> int:
-    return vote(share(len(t.raw) - len(t.raw.translate(None, b"#*$%&|<>{}[]~^")), t.n), 0.03, 0.15)
+    return bad_from(share(len(t.raw) - len(t.raw.translate(None, b"#*$%&|<>{}[]~^")), t.n), 0.15)
 
 
 def v_shouting(t: Look) -> int:
     letters = len(t.raw) - len(t.raw.translate(None, b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    return vote(share(len(t.raw) - len(t.raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")), letters), 0.15, 0.4)
+    return bad_from(share(len(t.raw) - len(t.raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")), letters), 0.4)
 
 
-def v_marks(t: Look) -> int:
-    return vote(share(t.raw.count(b"!") + t.raw.count(b"?"), t.n), 0.05, 0.25)
+def v_odd_ends(t: Look) -> int:
+    """Words that end in punctuation other than prose has at its ends."""
+    return bad_from(share(sum(w[-1] in b"#*$%&|!?<>~^=+_" for w in t.words), t.n), 0.12)
+
+
+def v_runs(t: Look) -> int:
+    """Runs of one sign, as in !! or ***."""
+    return bad_from(share(len(re.findall(rb"([!-/:-@\[-`{-~])\1+", t.raw)), t.n), 0.12)
+
+
+def v_bare_signs(t: Look) -> int:
+    """Words without letters, digits or characters beyond ASCII."""
+    return bad_from(share(sum(not w.translate(None, b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for w in t.words), t.n), 0.12)
 
 
 def v_distinct(t: Look) -> int:
-    return vote(1 - share(len(set(t.lower)), min(t.n, 2000)), 0.6, 0.8) if t.n >= 20 else ABSTAIN
+    return bad_from(1 - share(len(set(t.lower)), min(t.n, 2000)), 0.75) if t.n >= 20 else ABSTAIN
 
 
 def v_windows(t: Look) -> int:
     grams = list(zip(t.lower, t.lower[1:], t.lower[2:], strict=False))
-    return vote(1 - share(len(set(grams)), len(grams)), 0.1, 0.3) if grams else ABSTAIN
+    return bad_from(1 - share(len(set(grams)), len(grams)), 0.3) if grams else ABSTAIN
 
 
-def v_lines(t: Look) -> int:
-    return vote(1 - share(len(set(t.lines)), len(t.lines)), 0.1, 0.3) if len(t.lines) > 2 else ABSTAIN
+def v_echo(t: Look) -> int:
+    """Words that repeat the one before, or lines that repeat an earlier one."""
+    lines = 1 - share(len(set(t.lines)), len(t.lines)) if len(t.lines) > 2 else 0.0
+    return bad_from(max(lines, share(sum(x == y for x, y in zip(t.lower, t.lower[1:], strict=False)), t.n)), 0.3)
 
 
 def v_word_length(t: Look) -> int:
     mean = share(t.chars, t.n)
-    return GOOD if 3.5 <= mean <= 9 else BAD if mean < 2.5 or mean > 14 else ABSTAIN
+    return GOOD if 3 <= mean <= 9 else BAD if mean < 2 or mean > 14 else ABSTAIN
 
 
 def v_prose(t: Look) -> int:
     known = share(sum(w in FUNCTION_WORDS for w in t.lower), t.n)
-    return vote(-known, -0.08, -0.02) if t.n >= 20 else ABSTAIN
+    return GOOD if known >= 0.08 else BAD if known < 0.01 and t.n >= 50 else ABSTAIN
+
+
+def v_sentences(t: Look) -> int:
+    """Prose ends its sentences."""
+    return GOOD if share(sum(w[-1] in b".,;:" for w in t.words), t.n) >= 0.04 else ABSTAIN
 
 
-LABELLERS = (v_length, v_symbols, v_shouting, v_marks, v_distinct, v_windows, v_lines, v_word_length, v_prose)
+LABELLERS = (v_empty, v_symbols, v_shouting, v_odd_ends, v_runs, v_bare_signs, v_distinct, v_windows, v_echo, v_word_length, v_prose, v_sentences)
 
 
 def pattern(t: Look) -> int:
@@ -96,27 +114,30 @@ def votes_of(patterns: np.ndarray) -> np.ndarray:
     return np.stack([patterns // 3 ** (k - 1 - j) % 3 for j in range(k)], axis=1)
 
 
-def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """Posterior of good quality per vote pattern.
+def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of good quality per vote pattern, and each labeller's chances of its three votes in either class.
 
-    Each labeller's chances to vote good, bad or not at all are estimated per class, and the classes' shares with them.
-    It starts from majority votes, which also tells the classes apart; one vote of each kind per class smooths.
+    The chances to vote good, bad or not at all (accuracies) are estimated per class with the classes' shares, in turn
+    with the posteriors. As a labeller knows one kind of bad text and is silent on the rest, the start takes any vote
+    for bad as a sign of it, the more so the more there are; that also tells the classes apart. One pseudo-count per
+    vote smooths.
     """
     votes, n = votes_of(patterns), counts.astype(float)
-    post = np.clip(((votes == GOOD).sum(1) + 1) / ((votes != ABSTAIN).sum(1) + 2), 0.05, 0.95)
     hot = np.eye(3)[votes]
+    post = np.array([0.95, 0.2, 0.02])[np.minimum((votes == BAD).sum(1), 2)]
+    chance = np.zeros((2, len(LABELLERS), 3))
     for _ in range(rounds):
         logit = np.zeros(len(n))
-        for sign, w in ((1, post * n), (-1, (1 - post) * n)):
-            chance = np.einsum("p,pjv->jv", w, hot) + 1
-            chance /= chance.sum(1, keepdims=True)
-            logit += sign * (np.einsum("pjv,jv->p", hot, np.log(chance)) + np.log(w.sum() + 1))
+        for cls, w in ((0, post * n), (1, (1 - post) * n)):
+            counted = np.einsum("p,pjv->jv", w, hot) + 1
+            chance[cls] = counted / counted.sum(1, keepdims=True)
+            logit += (1 - 2 * cls) * (np.einsum("pjv,jv->p", hot, np.log(chance[cls])) + np.log(w.sum() + 1))
         new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         done = np.abs(new - post).max() < 1e-9
         post = new
         if done:
             break
-    return post
+    return post, chance
 
 
 SHAPES = bytes(c if c >= 0x80 else 0x41 if 0x41 <= c <= 0x5A else 0x61 if 0x61 <= c <= 0x7A else 0x30 if 0x30 <= c <= 0x39 else c for c in range(256))
@@ -211,7 +232,7 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     counted = texts.select("text").mapInArrow(vote_patterns, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
     patterns = np.array([r["pattern"] for r in counted], np.int64)
-    posterior = dict(zip(patterns.tolist(), expectation_maximisation(patterns, np.array([r["n"] for r in counted])).tolist(), strict=True)) if counted else {}
+    posterior = dict(zip(patterns.tolist(), expectation_maximisation(patterns, np.array([r["n"] for r in counted]))[0].tolist(), strict=True)) if counted else {}
     first = texts.orderBy(F.xxhash64("id", "text"), "id").limit(sample).select("text")
     rows = first.mapInArrow(sample_features, "pattern long, at array<int>, x array<float>").collect()
     w, bias = fit(rows, posterior)
