@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fillforge.llm.common import components, ship, staged
@@ -81,15 +82,16 @@ def ranked(group: list[np.ndarray]) -> np.ndarray:
     return best.reshape(-1, SLOTS)
 
 
-SKETCH = "id long, n_shingles long, d1 long, d2 long, bands array<long>, sig binary"
+SKETCH = "id long, t long, n_shingles long, d1 long, d2 long, bands array<long>, sig binary"
 
 
 def sketches(width: int):
-    """Batches of (id, text as bytes) to sketches: set size, 128-bit digest of the set, band keys, one byte per slot."""
+    """Batches of (id, text hash, text as bytes) to sketches: set size, 128-bit digest of the set, band keys, one byte
+    per slot."""
 
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, hashes, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
             for lo in range(0, len(texts), 256):
                 sets = [shingles(t, width) for t in texts[lo : lo + 256]]
                 full = [s for s in sets if len(s)]
@@ -109,8 +111,8 @@ def sketches(width: int):
                     i += bool(len(s))
                 half = lambda a: [int.from_bytes(d[a : a + 8], "little", signed=True) if d else None for d in digest]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, 256), pa.array([len(s) for s in sets], pa.int64()), pa.array(half(0), pa.int64()), pa.array(half(8), pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                    ["id", "n_shingles", "d1", "d2", "bands", "sig"],
+                    [ids.slice(lo, 256), hashes.slice(lo, 256), pa.array([len(s) for s in sets], pa.int64()), pa.array(half(0), pa.int64()), pa.array(half(8), pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
+                    ["id", "t", "n_shingles", "d1", "d2", "bands", "sig"],
                 )
 
     return run
@@ -161,8 +163,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        with all; what is near by them forms families, and within these full sets are compared in blocks the same way.
        Only edges that join two components leave a block, so no step makes all pairs of a group.
     """
+    out = grouped(docs, id_col, text_col, width, percent)
+    group = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("id"))
+    out = out.select("id", "n_shingles", group.alias("component_id"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull())
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each group that near_duplicates finds: the one of the smallest id, nulls last, and among
+    rows of that id the one of the smallest text hash. Repeated rows leave one. Rows without words stay as they are."""
+    out = grouped(docs, id_col, text_col, width, percent)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("x")
+    winners = out.where("n_shingles > 0").groupBy("c").agg(first).select(F.col("x.id").alias("_wid"), F.col("x.t").alias("_wt"), F.lit(True).alias("_one"))
+    wordless = out.where("n_shingles = 0").select(F.col("id").alias("_wid"), F.col("t").alias("_wt"), F.lit(False).alias("_one")).distinct()
+    keep = staged(winners.union(wordless), "kept")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_t": F.xxhash64(F.col(text_col).cast("string"))})
+    both = keyed.join(keep, keyed["_id"].eqNullSafe(keep["_wid"]) & (keyed["_t"] == keep["_wt"]))
+    turn = F.row_number().over(W.partitionBy("_id", "_t").orderBy(F.lit(0)))
+    return both.withColumn("_turn", turn).where("_turn = 1 or not _one").select(*names)
+
+
+def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """Per row of docs: id, t (hash of the text), n_shingles and, if it has any, c (its group) and least (its id)."""
     ship(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("t"), text.cast("binary").alias("text"))
     sketch = staged(texts.mapInArrow(sketches(width), SKETCH), "sketch")
     one = F.min_by(F.struct("id", "bands", "sig"), F.coalesce("id", F.lit(2**63 - 1))).alias("x")
     classes = staged(sketch.where("n_shingles > 0").groupBy("d1", "d2").agg(one).select(F.col("d1").alias("k"), "d2", "x.*"), "classes")
@@ -189,12 +216,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.select("k", "d2", "id").join(groups.withColumnRenamed("node", "k"), "k", "left")
     named = named.select("k", "d2", "id", F.coalesce("component", "k").alias("c"))
     least = named.groupBy("c").agg(F.min("id").alias("least"))
-    named = named.join(least, "c").select(F.col("k").alias("d1"), "d2", "least")
-    out = sketch.select("id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
-    group = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("id"))
-    out = out.select("id", "n_shingles", group.alias("component_id"))
-    kept = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull())
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
+    named = named.join(least, "c").select(F.col("k").alias("d1"), "d2", "c", "least")
+    return sketch.select("id", "t", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left").select("id", "t", "n_shingles", "c", "least")
 
 
 def floor_of(percent: int) -> float:

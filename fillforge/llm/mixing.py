@@ -26,8 +26,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
 
     Sources by code point, null last, take the weights in turn and share `share` of all sizes. No target passes `most`
     times its source's size; the excess goes to the others by weight. Sources sorted by most * size / weight are capped
-    from the front, so running sums give each candidate level and the first one that caps no more is the level. The
-    windows see one row per source.
+    from the front; running sums give the level (words per weight) that is left after each. It rises while capping is
+    due and falls after that, so the largest one holds. The windows see one row per source.
     """
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     ranked = sizes.withColumn("w", F.get(cycle, (F.row_number().over(W.orderBy(F.col("_source").asc_nulls_last())) - 1) % len(weights)))
@@ -37,8 +37,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
     capped = F.coalesce(F.sum("source_size").over(before), F.lit(0))
     open_weight = F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0))
     stepped = ranked.withColumn("level", (share * total - most * capped) / open_weight)
-    enough = F.when(most * F.col("source_size") >= F.col("level") * F.col("w"), F.col("level"))
-    level = F.min(enough).over(everything)
+    level = F.max("level").over(everything)
     cap = most * F.col("source_size")
     return stepped.withColumn("target", F.least(cap, F.coalesce(level * F.col("w"), cap))).select("_source", "source_size", "target")
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fillforge.llm import sql
 from fillforge.llm.bpe import bpe
+from fillforge.llm.embeddings import embedding_duplicates
+from fillforge.llm.language import document_languages, fit_text, page_languages
 from fillforge.llm.licenses import license_scan
 from fillforge.llm.minhash import near_duplicates
 from fillforge.llm.mixing import mix_report
@@ -35,6 +38,10 @@ def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), digest=True)
 
 
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
@@ -43,6 +50,15 @@ def op5_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_report(documents(spark, sf_dir))
 
 
+def op6_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and all pages; the text likelihoods come from a sample of the documents."""
+    docs = documents(spark, sf_dir)
+    langs, table = fit_text(docs, "doc_id", "text", "lang")
+    pages = page_languages(spark.read.parquet(f"{sf_dir}/pages.parquet"), langs, table)
+    none = F.lit(None).cast("long")
+    return document_languages(docs, langs, table).withColumn("page_id", none).unionByName(pages.withColumn("doc_id", none))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -60,7 +76,7 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_weak_labels, op2_bpe_tree, op4_license_index, op5_chained_passages, op7_token_files, op8_mix_sources, op9_host_quality, op10_superminhash)
+    found = (op1_weak_labels, op2_bpe_tree, op3_multi_index, op4_license_index, op5_chained_passages, op6_language_fusion, op7_token_files, op8_mix_sources, op9_host_quality, op10_superminhash)
     return {f.__name__: f for f in found}
 
 

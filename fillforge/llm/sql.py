@@ -12,7 +12,7 @@ WITH d AS (
     / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS level
   FROM s WINDOW o AS (ORDER BY 2.0::DOUBLE * source_size / w, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
-  SELECT source, source_size, least(2.0::DOUBLE * source_size, coalesce(min(CASE WHEN 2.0::DOUBLE * source_size >= level * w THEN level END) OVER () * w, 2.0::DOUBLE * source_size)) AS target FROM l
+  SELECT source, source_size, least(2.0::DOUBLE * source_size, coalesce(max(level) OVER () * w, 2.0::DOUBLE * source_size)) AS target FROM l
 ), r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
