@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed value: the base58 alphabet.
 ALPHABET = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
@@ -94,12 +95,12 @@ def encode58(raw: bytes | None) -> str | None:
     return "1" * (len(raw) - len(raw.lstrip(b"\0"))) + out
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def from_base58(text: pd.Series) -> pd.Series:
     """Bytes of base58 text; NULL for other characters. The one step without a built-in: filter by program first."""
     return text.map(decode58, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_base58(raw: pd.Series) -> pd.Series:
     return raw.map(lambda x: encode58(bytes(x)), na_action="ignore")
