@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fillforge.plans import market_queries, rollup_queries
+from fillforge.plans import market_queries, rollup_queries, stream_queries
 
-ALL = {**rollup_queries.QUERIES, **market_queries.QUERIES}
+ALL = {**rollup_queries.QUERIES, **market_queries.QUERIES, **stream_queries.QUERIES}
 
 
 def queries() -> dict:
