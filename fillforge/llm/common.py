@@ -42,6 +42,16 @@ def unstage(df: DataFrame) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def wrapped(docs: DataFrame, **columns: str) -> DataFrame:
+    """docs with all its columns in one struct _row, so that no name of theirs clashes with one of ours, and the named
+    ones again beside it. unwrapped() gives the columns of docs back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+
+
+def unwrapped(rows: DataFrame) -> DataFrame:
+    return rows.select("_row.*")
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors once per application, so that Python tasks can import it."""
     app = spark.sparkContext.applicationId

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fillforge.llm.common import components, ship, staged
+from fillforge.llm.common import components, ship, staged, unwrapped, wrapped
 
 ROWS, BANDS = 6, 32
 SLOTS = ROWS * BANDS
@@ -178,11 +178,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     winners = out.where("n_shingles > 0").groupBy("c").agg(first).select(F.col("x.id").alias("_wid"), F.col("x.t").alias("_wt"), F.lit(True).alias("_one"))
     wordless = out.where("n_shingles = 0").select(F.col("id").alias("_wid"), F.col("t").alias("_wt"), F.lit(False).alias("_one")).distinct()
     keep = staged(winners.union(wordless), "kept")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.withColumns({"_id": F.col(id_col).cast("long"), "_t": F.xxhash64(F.col(text_col).cast("string"))})
+    keyed = wrapped(docs, _id=id_col, _t=text_col).select("_row", F.col("_id").cast("long").alias("_id"), F.xxhash64(F.col("_t").cast("string")).alias("_t"))
     both = keyed.join(keep, keyed["_id"].eqNullSafe(keep["_wid"]) & (keyed["_t"] == keep["_wt"]))
     turn = F.row_number().over(W.partitionBy("_id", "_t").orderBy(F.lit(0)))
-    return both.withColumn("_turn", turn).where("_turn = 1 or not _one").select(*names)
+    return unwrapped(both.withColumn("_turn", turn).where("_turn = 1 or not _one"))
 
 
 def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:

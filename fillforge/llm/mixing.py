@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fillforge.llm.common import staged
+from fillforge.llm.common import staged, unwrapped, wrapped
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -70,7 +70,6 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 8) -> DataFrame:
     """The mix itself: the rows of docs, each as often as it is taken. A document without words is never taken."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(*columns, word_count(F.col(text_col)).alias("_size"), F.col(source_col).alias("_s"))
-    out = with_copies(rows, "_s", "_size", id_col, weights, share, most, seed).where("_size > 0 and _copies > 0")
-    return out.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")).drop("_copy")
+    rows = wrapped(docs, _key=id_col, _s=source_col, _t=text_col).withColumn("_size", word_count(F.col("_t"))).drop("_t")
+    out = with_copies(rows, "_s", "_size", "_key", weights, share, most, seed).where("_size > 0 and _copies > 0")
+    return unwrapped(out.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fillforge.llm.common import staged
+from fillforge.llm.common import staged, unwrapped, wrapped
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
@@ -118,6 +118,5 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def quality_filter(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The rows of docs that quality_report keeps, with the columns of docs."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = measured(docs.select(*columns, F.col(host_col).alias("_h")), text_col)
-    return judged(rows, bad_hosts(rows.select("_h", "_m"), "_h"), "_h").where("kept").select(*columns)
+    rows = measured(wrapped(docs, _h=host_col, _t=text_col), "_t").drop("_t")
+    return unwrapped(judged(rows, bad_hosts(rows.select("_h", "_m"), "_h"), "_h").where("kept"))
