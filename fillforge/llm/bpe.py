@@ -20,7 +20,7 @@ LEAF = 4096
 #: A text of more characters is dealt out as several rows.
 LONG = 1 << 20
 #: Encoded chunks that a Python worker remembers.
-MEMO = 500_000
+MEMO = 150_000
 
 _coders: dict[str, Coder] = {}
 
@@ -64,8 +64,7 @@ class Coder:
     def learn(self, chunks: set[str]) -> None:
         missing = chunks - self.memo.keys()
         if len(self.memo) + len(missing) > MEMO:
-            self.memo.clear()
-            missing = chunks
+            self.memo = {c: self.memo[c] for c in chunks if c in self.memo}  # what is common stays
         new = [c for c in missing if len(c) <= LEAF and not (self.plain and self.learn_word(c))]
         for c, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
             self.memo[c] = tuple(e.ids)

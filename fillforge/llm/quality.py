@@ -48,14 +48,14 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def of(t: Column) -> Column:
         words = F.filter(F.split(t, BLANKS), lambda x: x != "")
-        lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, " \t\n\u000b\f\r", "") != "")
+        lines = F.filter(F.split(t, "\n"), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]")))
         both = F.struct(words.alias("w"), lines.alias("l"))
         return let(
             both,
             lambda b: F.struct(
                 F.size(b["w"]).cast("long").alias("n_words"),
-                F.length(F.translate(t, " \t\n\u000b\f\r", "")).cast("long").alias("word_chars"),
-                (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+                F.length(F.array_join(b["w"], "")).cast("long").alias("word_chars"),
+                F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
                 F.size(b["l"]).cast("long").alias("n_lines"),
                 (F.size(b["l"]) - F.size(F.array_distinct(b["l"]))).cast("long").alias("n_dup_lines"),
                 repeat_words(b["w"]).alias("n_repeat_words"),

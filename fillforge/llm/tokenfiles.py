@@ -22,7 +22,7 @@ from fillforge.llm.common import new_path, ship, staged
 SEQUENCE = 1024  # ids of a sequence
 BATCH = 512  # sequences of a record batch
 FILE_BYTES = 64 << 20  # bytes of text that a file is meant for
-MEMO = 500_000  # encoded chunks that a Python worker remembers
+MEMO = 150_000  # encoded chunks that a Python worker remembers
 
 _coders: dict[str, ByteCoder] = {}
 
@@ -86,8 +86,7 @@ class ByteCoder:
     def learn(self, chunks: set[str]) -> None:
         missing = chunks - self.memo.keys()
         if len(self.memo) + len(missing) > MEMO:
-            self.memo.clear()
-            missing = chunks
+            self.memo = {c: self.memo[c] for c in chunks if c in self.memo}  # what is common stays
         hard = []
         for c in missing:
             lines = c.split("\n")
