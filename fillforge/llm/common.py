@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -18,7 +19,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = f"file://{tempfile.mkdtemp(prefix='fillforge-')}"
         spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+    where = spark._jvm.org.apache.hadoop.fs.Path(found)
+    whole = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return re.sub("^file:/+", "file:///", whole).rstrip("/")  # with its scheme, as Arrow would take a bare path as local
 
 
 def new_path(spark: SparkSession, name: str) -> str:
