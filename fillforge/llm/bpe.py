@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fillforge.llm.common import ship
+from fillforge.llm.tokenfiles import BYTE_CHARS, SIMPLE
 
 #: A piece without a cut inside is encoded by halves from this many characters on.
 LEAF = 4096
@@ -54,7 +55,7 @@ class Coder:
         self.words: dict[str, tuple[int, ...]] = {}
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex", "")
-        #: Runs of letters are pieces of their own, in lower case: ASCII words need no normalising.
+        #: Runs of letters and runs of signs are pieces of their own, in lower case: Latin words need no normalising.
         self.plain = "Lowercase" in kinds and r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in split
 
     def chunks(self, text: str) -> list[str]:
@@ -70,18 +71,20 @@ class Coder:
             self.memo[c] = tuple(e.ids)
 
     def learn_word(self, chunk: str) -> bool:
-        """Remembers an ASCII word with at most one full stop or comma after it; False for any other chunk."""
-        mark = chunk[-1] if chunk[-1] in ".," else ""
-        word = chunk[: len(chunk) - len(mark)].lower()
-        if not (word.isascii() and word.isalpha()):
+        """Remembers Latin letters with signs after them, which are at most two pieces; False for any other chunk."""
+        if not (m := SIMPLE.fullmatch(chunk)):
             return False
-        if word not in self.words:
-            if len(self.words) >= MEMO:
-                self.words.clear()
-            self.words[word] = tuple(t.id for t in self.tok.model.tokenize(word))
-        if mark and mark not in self.words:
-            self.words[mark] = tuple(t.id for t in self.tok.model.tokenize(mark))
-        self.memo[chunk] = self.words[word] + self.words[mark] if mark else self.words[word]
+        ids: tuple[int, ...] = ()
+        for piece in m.groups():
+            if piece:
+                low = piece.lower()
+                if low not in self.words:
+                    if len(self.words) >= MEMO:
+                        self.words.clear()
+                    seen = low if low.isascii() else "".join(map(BYTE_CHARS.__getitem__, low.encode()))
+                    self.words[low] = tuple(t.id for t in self.tok.model.tokenize(seen))
+                ids += self.words[low]
+        self.memo[chunk] = ids
         return True
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:

@@ -24,6 +24,20 @@ BATCH = 512  # sequences of a record batch
 FILE_BYTES = 64 << 20  # bytes of text that a file is meant for
 MEMO = 150_000  # encoded chunks that a Python worker remembers
 
+CONTROL, DOUBLE = re.compile("[\0\1]"), re.compile(r"\s\s")
+SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*)([!-/:-@\[-`{-~]*)")
+
+
+def byte_chars() -> list[str]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones of Latin-1 for themselves, the
+    others in order from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+BYTE_CHARS = byte_chars()
+
 _coders: dict[str, ByteCoder] = {}
 
 
@@ -54,17 +68,24 @@ class ByteCoder:
         return np.array(ids, self.dtype).tobytes()
 
     def chunks(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]
-        first, *rest = text.split(" ")
-        if not re.search(r" \s|[ ]\Z", text):
-            return [first, *(" " + r for r in rest)]
-        out = [first]
-        for r in rest:
-            if not r or r[0].isspace():
-                out[-1] += " " + r
-            else:
-                out.append(" " + r)
+        """Keys of the parts of a text: words after a single space as they are, the first one after NUL, those after a
+        single line end (a piece of its own) after it, and parts with other blanks or special tokens after \\1."""
+        if not text or CONTROL.search(text) or any(s in text for s in self.special):
+            return ["\1" + text]
+        if text[0].isspace() or text[-1].isspace() or DOUBLE.search(text):
+            first, *rest = text.split(" ")
+            out = [first]
+            for r in rest:
+                if not r or r[0].isspace():
+                    out[-1] += " " + r
+                else:
+                    out.append(" " + r)
+            return ["\1" + x for x in out]
+        out: list[str] = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            words[0] = ("\n" if out else "\0") + words[0]
+            out += words
         return out
 
     def piece(self, text: str) -> bytes:
@@ -74,33 +95,39 @@ class ByteCoder:
             self.pieces[text] = self.packed([t.id for t in self.tok.model.tokenize(text)])
         return self.pieces[text]
 
-    def plain(self, chunk: str) -> bytes | None:
-        """The ids of an ASCII word, with or without a space before and a full stop or comma after it; else None."""
-        mark = chunk[-1] if chunk[-1:] in (".", ",") else ""
-        word = chunk[: len(chunk) - len(mark)]
-        letters = word[1:] if word[:1] == " " else word
-        if not (letters.isascii() and letters.isalpha()):
+    def simple(self, word: str, space: str) -> bytes | None:
+        """The ids of Latin letters with signs after them, which are at most two pieces; None for any other word."""
+        if not (m := SIMPLE.fullmatch(word)):
             return None
-        return self.piece(word.replace(" ", "Ġ")) + (self.piece(mark) if mark else b"")
+        letters, signs = m.groups()
+        if not letters.isascii():
+            letters = "".join(map(BYTE_CHARS.__getitem__, letters.encode()))
+        if letters:
+            return self.piece(space + letters) + (self.piece(signs) if signs else b"")
+        return self.piece(space + signs) if space or signs else b""
 
     def learn(self, chunks: set[str]) -> None:
         missing = chunks - self.memo.keys()
         if len(self.memo) + len(missing) > MEMO:
             self.memo = {c: self.memo[c] for c in chunks if c in self.memo}  # what is common stays
-        hard = []
-        for c in missing:
-            lines = c.split("\n")
-            if len(lines) == 2 and c.isascii():  # a lone line end between two words is a piece of its own
-                ends = [self.plain(x) for x in lines]
-                found = None if None in ends else ends[0] + self.piece("Ċ") + ends[1]
+        hard: list[tuple[str, str]] = []
+        for key in missing:
+            kind = key[:1]
+            if kind == "\1":
+                found, text = None, key[1:]
+            elif kind == "\n":
+                found, text = self.simple(key[1:], ""), key
+                found = None if found is None else self.piece(BYTE_CHARS[10]) + found
+            elif kind == "\0":
+                found, text = self.simple(key[1:], ""), key[1:]
             else:
-                found = self.plain(c)
+                found, text = self.simple(key, BYTE_CHARS[32]), " " + key
             if found is None:
-                hard.append(c)
+                hard.append((key, text))
             else:
-                self.memo[c] = found
-        for c, e in zip(hard, self.tok.encode_batch_fast(hard, add_special_tokens=False), strict=True):
-            self.memo[c] = self.packed(e.ids)
+                self.memo[key] = found
+        for (key, _), e in zip(hard, self.tok.encode_batch_fast([t for _, t in hard], add_special_tokens=False), strict=True):
+            self.memo[key] = self.packed(e.ids)
 
     def encode_all(self, texts: list[str], end_id: int) -> list[bytes]:
         split = [self.chunks(t) for t in texts]
