@@ -22,7 +22,7 @@ from fillforge.llm.common import new_path, ship, staged
 SEQUENCE = 1024  # ids of a sequence
 BATCH = 512  # sequences of a record batch
 FILE_BYTES = 64 << 20  # bytes of text that a file is meant for
-MEMO = 150_000  # encoded chunks that a Python worker remembers
+MEMO = 300_000  # encoded chunks that a Python worker remembers
 
 CONTROL, DOUBLE = re.compile("[\0\1]"), re.compile(r"\s\s")
 SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*)([!-/:-@\[-`{-~]*)")
