@@ -244,6 +244,16 @@ def test_chains_allow_edits(spark):
     assert [(x["doc_id"], x["other_doc_id"]) for x in got] == [(2, 1)] and got[0]["end_word"] - got[0]["start_word"] >= 100
 
 
+@pytest.mark.parametrize("apart", [10, 60, 120, 300])
+def test_passages_of_one_chain_are_split(spark, apart):
+    one, two = prose(31, 60), prose(32, 60)
+    rows = [(i, " ".join([prose(40 + i, 30), one, prose(50 + i, apart), two, prose(60 + i, 30)])) for i in (1, 2)]
+    got = [(x["start_word"], x["end_word"]) for x in passages.passage_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = {*range(30, 90), *range(90 + apart, 150 + apart)}
+    found = {w for lo, hi in got for w in range(lo, hi)}
+    assert len(got) == (1 if apart < 30 else 2) and want <= found and (apart < 30 or len(found - want) <= 8)
+
+
 def test_fenwick_chain_equals_quadratic():
     r = np.random.default_rng(2)
     for _ in range(30):
