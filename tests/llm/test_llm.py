@@ -254,6 +254,26 @@ def test_passages_of_one_chain_are_split(spark, apart):
     assert len(got) == (1 if apart < 30 else 2) and want <= found and (apart < 30 or len(found - want) <= 8)
 
 
+@pytest.mark.parametrize("times", [(1, 2), (2, 1), (1, 4)])
+def test_passages_repeat_within_a_document(spark, times):
+    copies = lambda i, n: " ".join(prose(100 * i + j, 80) + " " + prose(33, 60) for j in range(n))
+    docs = spark.createDataFrame([(i + 1, copies(i + 1, n)) for i, n in enumerate(times)], "doc_id long, text string")
+    got = passages.passage_report(docs).collect()
+    found = {w for x in got for w in range(x["start_word"], x["end_word"])}
+    assert {w for n in range(times[1]) for w in range(140 * n + 80, 140 * n + 140)} <= found
+    assert {w for n in range(times[0]) for w in range(140 * n + 80, 140 * n + 140)} <= {w for x in got for w in range(x["other_start"], x["other_end"])}
+    assert prose(33, 60) not in by_id(passages.drop_repeats(docs))[2]["text"]
+
+
+def test_earlier_phrases_do_not_shift_the_match(spark):
+    words = prose(34, 60).split()
+    phrases = " ".join(" ".join(words[i : i + 12]) + " " + prose(400 + i, 40) for i in range(0, 60, 6))
+    rows = [(1, prose(35, 40) + " " + " ".join(words)), (2, phrases + " " + " ".join(words) + " " + prose(36, 40))]
+    for docs in (rows, [(3 - i, x) for i, x in rows]):
+        got = passages.passage_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        assert any(x["n_match"] >= 60 for x in got)
+
+
 def test_fenwick_chain_equals_quadratic():
     r = np.random.default_rng(2)
     for _ in range(30):
