@@ -274,6 +274,27 @@ def test_earlier_phrases_do_not_shift_the_match(spark):
         assert any(x["n_match"] >= 60 for x in got)
 
 
+def test_exact_runs_meet_whatever_holds_their_parts(spark):
+    words, own = prose(37, 60).split(), (prose(500 + i, 30) for i in range(99))
+    parts = {1: words[:30], 2: words[30:], 10: words, 20: words, 30: words[:30], 40: words[30:]}
+    got = passages.passage_report(spark.createDataFrame([(i, " ".join([next(own), *w, next(own)])) for i, w in parts.items()], "doc_id long, text string")).collect()
+    assert [(x["doc_id"], x["other_doc_id"], x["start_word"], x["end_word"]) for x in got] == [(20, 10, 30, 90)]
+
+
+def test_repeated_runs_equal_brute_force(spark):
+    r = random.Random(3)
+    blocks = [prose(600 + i, r.choice([8, 25, 40, 55])) for i in range(8)]
+    rows = [(i, " ".join(prose(700 + 20 * i + j, r.randint(1, 30)) if r.random() < 0.3 else r.choice(blocks) for j in range(8))) for i in range(1, 80)]
+    first, want = {}, set()
+    for i, text in rows:
+        w = text.split()
+        for p in range(len(w) - 49):
+            if first.setdefault(tuple(w[p : p + 50]), i) < i:
+                want |= {(i, x) for x in range(p, p + 50)}
+    got = passages.passage_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert want and want <= {(x["doc_id"], w) for x in got for w in range(x["start_word"], x["end_word"])}
+
+
 def test_fenwick_chain_equals_quadratic():
     r = np.random.default_rng(2)
     for _ in range(30):
