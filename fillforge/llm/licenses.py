@@ -35,7 +35,6 @@ TEMPLATES = (
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("with or without fee",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software", "public domain")),
 )
-RARE = 8  # licence words of a file that are looked up, the highest IDF first
 SHARE = 0.75  # of a template's words that must stand at their relative positions
 
 #: Bytes that are no part of a word once A-Z are lowered become blanks.
@@ -61,6 +60,17 @@ class Index:
             phrases = [k.encode().split() for k in keys]
             self.keys.append([(p, k) for k in phrases for p in range(len(ws)) if ws[p : p + len(k)] == k])
 
+    def probes(self, idf: dict[bytes, float]) -> dict[bytes, list[tuple[int, int]]]:
+        """Words to look up, with their templates and positions: a template's rarest word of those that its key phrases
+        ask for or, without any, so many of its rarest ones that a text that holds SHARE of it holds one of them."""
+        out: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for t, ws in enumerate(self.words):
+            asked = {p + j for p, k in self.keys[t] for j in range(len(k))}
+            rare = sorted(asked or range(len(ws)), key=lambda p, ws=ws: (-idf.get(ws[p], 0.0), ws[p], p))
+            for p in rare[: 1 if asked else len(ws) - math.ceil(SHARE * len(ws)) + 1]:
+                out[ws[p]].append((t, p))
+        return dict(out)
+
 
 def places(joined: bytes, phrase: bytes) -> list[int]:
     """Starts, as word numbers, of a phrase in words joined by single blanks with one before and after."""
@@ -87,25 +97,16 @@ def document_words(batches):
 
 def scan(idf: dict[bytes, float], templates):
     index = Index(templates)
+    probes = index.probes(idf)
     phrases = [(b" " + p.encode() + b" ", label) for p, label in PHRASES.items()]
 
     def found(words: list[bytes]) -> dict[str, float]:
         """Labels of the templates that stand in the words, with the share of their words in place."""
-        rare = sorted(index.postings.keys() & set(words), key=lambda w: (-idf.get(w, 0.0), w))[:RARE]
-        at = defaultdict(list)
-        wanted = set(rare)
-        for i, w in enumerate(words):
-            if w in wanted:
-                at[w].append(i)
-        votes: dict[tuple[int, int], int] = defaultdict(int)
-        for w in rare:
-            for t, p in index.postings[w]:
-                for i in at[w]:
-                    votes[t, i - p] += 1
+        wanted = probes.keys() & set(words)
         out: dict[str, float] = {}
-        for (t, start), n in votes.items():
+        for t, start in ((t, i - p) for i, w in enumerate(words) if w in wanted for t, p in probes[w]) if wanted else ():
             ws = index.words[t]
-            if n < min(2, len(ws)) or start < 0 or start + len(ws) > len(words) + len(ws) // 4:
+            if start < 0 or start + len(ws) > len(words) + len(ws) // 4:
                 continue
             if all(words[start + p : start + p + len(k)] == k for p, k in index.keys[t]):
                 share = sum(x == y for x, y in zip(ws, words[start : start + len(ws)], strict=False)) / len(ws)
@@ -141,8 +142,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows that repeat an id are scanned each. Other columns of docs are not read.
 
     Document frequencies of the licence words are summed over the whole corpus; only the words of the templates, a few
-    hundred, reach the driver. Then each text is scanned where it lies: its rarest licence words are looked up, postings
-    that agree on a template's start are intersected, and the template's key phrases and words are verified in place.
+    hundred, reach the driver. Then each text is scanned where it lies: for each template the rarest word that it cannot
+    do without is looked up, and at each place of it the template's key phrases and words are verified.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))

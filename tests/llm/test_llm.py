@@ -356,6 +356,32 @@ def test_licenses(docs, spark):
     assert licenses.license_scan(docs).count() == len(AWKWARD) and licenses.license_scan(docs.limit(0)).count() == 0
 
 
+def test_every_template_in_a_long_text(spark):
+    r = random.Random(4)
+    index = licenses.Index()
+    every = " . ".join(t[1] for t in licenses.TEMPLATES)
+    bag = sorted(w.decode() for w in index.postings)
+    damaged = [" ".join(w if r.random() > 0.1 else "x" for w in t[1].split()) for t in licenses.TEMPLATES for _ in range(4)]
+    texts = [every, " ".join(bag) + " " + every, "licensed under cc by 4 0 " + licenses.TEMPLATES[0][1], " ".join(bag) + " released under the mit license " + " ".join(bag)]
+    texts += damaged + [" ".join(r.choices(bag, k=300) + r.choice(damaged).split() + r.choices(bag, k=300)) for _ in range(40)]
+
+    def brute(text):
+        words, out = licenses.words_of(text.encode()), {}
+        for label, ws, keys in zip(index.labels, index.words, index.keys, strict=True):
+            for start in range(len(words) - len(ws) + len(ws) // 4 + 1):
+                share = sum(x == y for x, y in zip(ws, words[start : start + len(ws)], strict=False)) / len(ws)
+                if share >= licenses.SHARE and all(words[start + p : start + p + len(k)] == k for p, k in keys):
+                    out[label] = max(share, out.get(label, 0.0))
+        return out
+
+    got = by_id(licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    for i, text in enumerate(texts):
+        want = brute(text)
+        base = {x for p, x in licenses.PHRASES.items() if f" {p} " in " " + b" ".join(licenses.words_of(text.encode())).decode() + " "}
+        assert got[i]["labels"] == ",".join(sorted({*want, *base})) and got[i]["score"] == max(want.values(), default=float(bool(base)))
+    assert {t[0] for t in licenses.TEMPLATES} <= set(got[0]["labels"].split(","))
+
+
 # 1, 6: classifier, languages
 
 
