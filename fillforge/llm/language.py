@@ -8,12 +8,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fillforge.llm.common import ship, staged
 
-SAMPLE = 4000  # labelled texts at most that the text likelihoods are fitted on, by the order of a hash of id and text
+SAMPLE = 4000  # labelled texts of each language at most that its likelihoods are fitted on, by the order of a hash of id and text
 BINS = 1 << 14  # of hashed byte trigrams
 WEIGHT = 100.0  # trigrams that a text's evidence counts for at most: they are far from independent
 MARKUP_RIGHT, SUFFIX_RIGHT = 0.85, 0.7  # chances that a declared language, a country's suffix tell the truth
@@ -40,31 +40,53 @@ def bins(text: str) -> np.ndarray:
 
 
 def trigram_counts(batches):
-    """(lang, text) to counts per language and bin."""
+    """(lang, text, markup) to counts per language and bin."""
     for batch in batches:
         total: dict[str, np.ndarray] = {}
-        for lang, text in zip(*[batch.column(c).to_pylist() for c in range(2)], strict=True):
-            total[lang] = total.get(lang, np.zeros(BINS, np.int64)) + np.bincount(bins(text), minlength=BINS)
+        for lang, text, markup in zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True):
+            total[lang] = total.get(lang, np.zeros(BINS, np.int64)) + np.bincount(bins(visible(text) if markup else text), minlength=BINS)
         for lang, n in total.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["lang", "bin", "n"])
 
 
-def fit_text(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages and log likelihoods (bin, language) from at most `sample` labelled texts, counted by grouped sums."""
-    rows = labelled.select(F.lower(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).where("lang is not null and text is not null")
-    first = rows.orderBy(F.xxhash64("id", "text"), "lang").limit(sample).select("lang", "text")
-    counted = first.mapInArrow(trigram_counts, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect()
-    langs = sorted({r["lang"] for r in counted})
-    table = np.full((BINS, len(langs)), 0.5)
+def markup_language() -> Column:
+    return F.nullif(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1), F.lit(""))
+
+
+def fit_text(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE, pages: DataFrame | None = None) -> tuple[list[str], np.ndarray]:
+    """Languages and log likelihoods (bin, language), counted by grouped sums.
+
+    The languages are all that a row of labelled or of pages (page_id, html) declares and, if there is any, those of
+    SUFFIX_LANGUAGE. Each is fitted on at most `sample` of its texts; pages lend theirs to languages that no row of
+    labelled declares. A language without any text has NaN.
+    """
+    shape = lambda df, lang, text, key, markup: df.select(F.lower(lang).alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(key, text).alias("key"), F.lit(markup).alias("markup")).where("lang is not null")
+    count = lambda df: {r["lang"]: r["n"] for r in df.groupBy("lang").agg(F.count("text").alias("n")).collect()}
+    rows = shape(labelled, F.col(lang_col), text_col, id_col, False)
+    sizes = count(rows)
+    if pages is not None:
+        more = shape(pages, markup_language(), "html", "page_id", True).where(~F.col("lang").isin(list(sizes)))
+        rows, sizes = rows.union(more), sizes | count(more)
+    langs = sorted({*sizes, *(SUFFIX_LANGUAGE.values() if sizes else ())})
+    table = np.full((BINS, len(langs)), np.nan)
+    if not langs:
+        return langs, table
+    shares = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, (2 * sample + 100) / max(1, n)))])
+    low = rows.where("text is not null").where((F.pmod("key", F.lit(1 << 32)) / (1 << 32)) < shares[F.col("lang")])  # about twice the sample
+    ranked = low.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 32)), "key", "text")))
+    counted = ranked.where(F.col("_n") <= sample).select("lang", "text", "markup").mapInArrow(trigram_counts, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect()
     at = {x: i for i, x in enumerate(langs)}
+    table[:, [at[x] for x in sorted({r["lang"] for r in counted})]] = 0.5
     for r in counted:
         table[r["bin"], at[r["lang"]]] += r["n"]
-    return langs, np.log(table / table.sum(axis=0)) if langs else table
+    return langs, np.log(table / table.sum(axis=0))
 
 
 def likelihoods(table: np.ndarray, markup: bool):
-    """(rest..., text) to (rest..., n_grams, ll): log likelihoods per language, at most WEIGHT trigrams' worth."""
+    """(rest..., text) to (rest..., n_grams, ll): log likelihoods per language, at most WEIGHT trigrams' worth. Languages
+    without a fit get the mean of the others: the text says nothing of them."""
+    fitted = ~np.isnan(table).any(axis=0)
 
     def run(batches):
         for batch in batches:
@@ -72,7 +94,9 @@ def likelihoods(table: np.ndarray, markup: bool):
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 at = bins(visible(text) if markup and text else text or "")
                 grams.append(len(at))
-                out.append(table[at].sum(axis=0) * min(1.0, WEIGHT / max(1, len(at))))
+                ll = table[at].sum(axis=0) * min(1.0, WEIGHT / max(1, len(at)))
+                ll[~fitted] = ll[fitted].mean() if fitted.any() else 0.0
+                out.append(ll)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(grams, pa.int64()), pa.array(out, pa.list_(pa.float64()))], [*batch.schema.names[:-1], "n_grams", "ll"])
 
     return run
@@ -140,15 +164,14 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray, key: list[str
     out = out.withColumn("_p", F.zip_with("_e", "_prior", lambda e, p: e + p))
     top = F.array_max("_p")
     sure = 1 / F.aggregate(F.transform("_p", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
-    text_lang = F.when(F.col("n_grams") > 0, best(F.col("ll"), langs))
+    text_lang = F.when((F.col("n_grams") > 0) & F.lit(not np.isnan(table).any(axis=0).all()), best(F.col("ll"), langs))
     return out.select(*key, best(F.col("_p"), langs).alias("lang"), sure.alias("confidence"), text_lang.alias("text_lang"), "declared", "host", "n_grams")
 
 
 def page_languages(pages: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
     """identify() for raw pages (page_id, url, html): the markup's lang attribute, the address's host and suffix."""
     host = F.nullif(F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit(""))
-    declared = F.nullif(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1), F.lit(""))
-    return identify(pages, langs, table, ["page_id"], "html", declared, host, True)
+    return identify(pages, langs, table, ["page_id"], "html", markup_language(), host, True)
 
 
 def document_languages(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:

@@ -51,10 +51,11 @@ def op5_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents and all pages; the text likelihoods come from a sample of the documents."""
+    """All documents and all pages; the text likelihoods come from a sample per language."""
     docs = documents(spark, sf_dir)
-    langs, table = fit_text(docs, "doc_id", "text", "lang")
-    pages = page_languages(spark.read.parquet(f"{sf_dir}/pages.parquet"), langs, table)
+    raw = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    langs, table = fit_text(docs, "doc_id", "text", "lang", pages=raw)
+    pages = page_languages(raw, langs, table)
     none = F.lit(None).cast("long")
     return document_languages(docs, langs, table).withColumn("page_id", none).unionByName(pages.withColumn("doc_id", none))
 

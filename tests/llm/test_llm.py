@@ -415,6 +415,18 @@ def test_languages(spark, sf, real):
     assert language.page_languages(pages, *none).where("lang is null").count() == 5
 
 
+def test_rare_languages_are_known(spark):
+    rows = [(i, prose(i, 20), "en", "a") for i in range(200)] + [(900, "talo ja yksi kaksi kolme " * 6, "FI", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    pages = spark.createDataFrame([(1, "http://a.org/", "<html lang=hu><p>" + "egy kettő három négy öt " * 6), (2, "http://x.jp/", None)], "page_id long, url string, html string")
+    langs, table = language.fit_text(docs, "doc_id", "text", "lang", sample=5, pages=pages)
+    assert {"en", "fi", "hu", "ja"} <= set(langs)
+    got = by_id(language.document_languages(docs, langs, table))
+    assert (got[900]["lang"], got[900]["text_lang"], got[3]["lang"]) == ("fi", "fi", "en")
+    found = by_id(language.page_languages(pages, langs, table), "page_id")
+    assert (found[1]["lang"], found[1]["text_lang"], found[2]["lang"]) == ("hu", "hu", "ja")
+
+
 # The pipeline
 
 
