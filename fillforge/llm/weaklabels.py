@@ -10,27 +10,68 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillforge.llm.common import ship
-
-SAMPLE = 6000  # documents at most that the scorer is fitted on, by the order of a hash of their ids
-BINS = 1 << 13  # of the hashed features
+from fillforge.llm.common import ship, staged
+from fillforge.llm.minhash import mixed
+
+SAMPLE = 6000  # documents at most that the scorer is fitted on, by the order of a hash of their ids and words
+BITS = 13
+BINS = 1 << BITS  # of the hashed features
+BLOCK = 500  # words within which v_distinct counts
+MEMO = 300_000  # words that a Python worker remembers
 GOOD, BAD, ABSTAIN = 2, 1, 0
 
 #: Frequent function words of the languages that the labeller of running prose knows.
 FUNCTION_WORDS = frozenset(b"the of and to in is that for with was on as it by der die das und in zu den mit von ist nicht auf la le les de et des que en du une el los las y un por con para".split())
 
+SHAPES = bytes(c if c >= 0x80 else 0x41 if 0x41 <= c <= 0x5A else 0x61 if 0x61 <= c <= 0x7A else 0x30 if 0x30 <= c <= 0x39 else c for c in range(256))
+SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+FLAGS = ("odd_end", "run", "bare", "known", "stop")
+HASH = 2 * BITS + len(FLAGS)  # bits below a word's hash
+
+
+class Words(dict):
+    """What the labellers and the scorer use of a word, as one number: the bins of the lowered word and of its shape,
+    FLAGS (ends in a sign that prose does not end words in; holds a run of one sign; has no letters, digits or characters
+    beyond ASCII; is a function word; ends in a sign that prose does end words in), and a hash of the lowered word."""
+
+    def __missing__(self, word: bytes) -> int:
+        low = word.lower()
+        form = b"#" + re.sub(rb"(.)\1+", rb"\1", word.translate(SHAPES))
+        h = xxhash.xxh3_64_intdigest(low)
+        flags = (word[-1] in b"#*$%&|!?<>~^=+_", re.search(rb"([!-/:-@\[-`{-~])\1", word) is not None, not word.translate(None, SIGNS), low in FUNCTION_WORDS, word[-1] in b".,;:")
+        out = h % BINS | xxhash.xxh3_64_intdigest(form) % BINS << BITS | h >> HASH << HASH
+        for i, yes in enumerate(flags):
+            out |= yes << 2 * BITS + i
+        if len(self) >= MEMO:
+            self.clear()
+        self[word] = out
+        return out
+
+
+known_words = Words()
+
 
 class Look:
     """What the labellers and the scorer see of a text."""
 
     def __init__(self, raw: bytes | None):
         self.raw = raw or b""
-        self.words = self.raw.split()
-        self.lower = self.raw.lower().split()
-        self.n = len(self.words)
-        self.chars = sum(map(len, self.words))
+        words = self.raw.split()
+        self.n = len(words)
+        self.chars = sum(map(len, words))
+        self.words = np.fromiter(map(known_words.__getitem__, words), np.uint64, self.n)
+        self.hashes = self.words >> np.uint64(HASH)
         self.lines = [x for x in self.raw.split(b"\n") if x.strip()]
 
+    def flagged(self, name: str) -> float:
+        """The share of words with this flag."""
+        return share(int((self.words >> np.uint64(2 * BITS + FLAGS.index(name)) & np.uint64(1)).sum()), self.n)
+
+    @property
+    def bins(self) -> np.ndarray:
+        """Per word its bin, and the bin of its shape in the bits above."""
+        return (self.words & np.uint64(BINS * BINS - 1)).astype(np.uint32)
+
 
 def share(part: float, whole: float) -> float:
     return part / whole if whole else 0.0
@@ -40,6 +81,11 @@ def bad_from(x: float, limit: float) -> int:
     return BAD if x >= limit else ABSTAIN
 
 
+def distinct(x: np.ndarray) -> int:
+    x = np.sort(x)
+    return int((x[1:] != x[:-1]).sum()) + 1 if len(x) else 0
+
+
 def v_empty(t: Look) -> int:
     return BAD if t.n < 3 else ABSTAIN
 
@@ -55,32 +101,38 @@ def v_shouting(t: Look) -> int:
 
 def v_odd_ends(t: Look) -> int:
     """Words that end in punctuation other than prose has at its ends."""
-    return bad_from(share(sum(w[-1] in b"#*$%&|!?<>~^=+_" for w in t.words), t.n), 0.12)
+    return bad_from(t.flagged("odd_end"), 0.12)
 
 
 def v_runs(t: Look) -> int:
-    """Runs of one sign, as in !! or ***."""
-    return bad_from(share(len(re.findall(rb"([!-/:-@\[-`{-~])\1+", t.raw)), t.n), 0.12)
+    """Words with runs of one sign, as in !! or ***."""
+    return bad_from(t.flagged("run"), 0.12)
 
 
 def v_bare_signs(t: Look) -> int:
-    """Words without letters, digits or characters beyond ASCII."""
-    return bad_from(share(sum(not w.translate(None, b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for w in t.words), t.n), 0.12)
+    return bad_from(t.flagged("bare"), 0.12)
 
 
 def v_distinct(t: Look) -> int:
-    return bad_from(1 - share(len(set(t.lower)), min(t.n, 2000)), 0.75) if t.n >= 20 else ABSTAIN
+    """Words that stand already in the same BLOCK of words; counting by blocks treats short and long texts alike."""
+    if t.n < 20:
+        return ABSTAIN
+    found = distinct(t.hashes << np.uint64(HASH) ^ np.arange(t.n, dtype=np.uint64) // np.uint64(BLOCK))
+    return bad_from(1 - share(found, t.n), 0.75)
 
 
 def v_windows(t: Look) -> int:
-    grams = list(zip(t.lower, t.lower[1:], t.lower[2:], strict=False))
-    return bad_from(1 - share(len(set(grams)), len(grams)), 0.3) if grams else ABSTAIN
+    """Windows of three words that stand elsewhere in the text too."""
+    if t.n < 3:
+        return ABSTAIN
+    h = t.hashes * np.uint64(0x9E3779B97F4A7C15)
+    return bad_from(1 - share(distinct(h[:-2] + mixed(h[1:-1] + mixed(h[2:]))), t.n - 2), 0.3)
 
 
 def v_echo(t: Look) -> int:
     """Words that repeat the one before, or lines that repeat an earlier one."""
     lines = 1 - share(len(set(t.lines)), len(t.lines)) if len(t.lines) > 2 else 0.0
-    return bad_from(max(lines, share(sum(x == y for x, y in zip(t.lower, t.lower[1:], strict=False)), t.n)), 0.3)
+    return bad_from(max(lines, share(int((t.hashes[1:] == t.hashes[:-1]).sum()), t.n)), 0.3)
 
 
 def v_word_length(t: Look) -> int:
@@ -89,13 +141,13 @@ def v_word_length(t: Look) -> int:
 
 
 def v_prose(t: Look) -> int:
-    known = share(sum(w in FUNCTION_WORDS for w in t.lower), t.n)
+    known = t.flagged("known")
     return GOOD if known >= 0.08 else BAD if known < 0.01 and t.n >= 50 else ABSTAIN
 
 
 def v_sentences(t: Look) -> int:
     """Prose ends its sentences."""
-    return GOOD if share(sum(w[-1] in b".,;:" for w in t.words), t.n) >= 0.04 else ABSTAIN
+    return GOOD if t.flagged("stop") >= 0.04 else ABSTAIN
 
 
 LABELLERS = (v_empty, v_symbols, v_shouting, v_odd_ends, v_runs, v_bare_signs, v_distinct, v_windows, v_echo, v_word_length, v_prose, v_sentences)
@@ -140,40 +192,24 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     return post, chance
 
 
-SHAPES = bytes(c if c >= 0x80 else 0x41 if 0x41 <= c <= 0x5A else 0x61 if 0x61 <= c <= 0x7A else 0x30 if 0x30 <= c <= 0x39 else c for c in range(256))
-
-
-def shape(word: bytes) -> bytes:
-    return b"#" + re.sub(rb"(.)\1+", rb"\1", word.translate(SHAPES))
-
-
-def features(t: Look) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed bins and values: words and word shapes, each kind to unit length."""
-    at, value = [], []
-    for words in (t.lower, [shape(w) for w in t.words]):
-        if words:
-            distinct: dict[bytes, int] = {}
-            for w in words:
-                distinct[w] = distinct.get(w, 0) + 1
-            bins = np.array([xxhash.xxh3_64_intdigest(w) % BINS for w in distinct], np.int64)
-            x = np.log1p(np.fromiter(distinct.values(), float))
-            at.append(bins)
-            value.append(x / np.linalg.norm(x))
-    return (np.concatenate(at), np.concatenate(value)) if at else (np.empty(0, np.int64), np.empty(0))
-
-
-def vote_patterns(batches):
-    """Texts as bytes to counts per vote pattern."""
+def looked_at(batches):
+    """(id, text as bytes) to (id, pattern, bins): the one pass over the texts."""
     for batch in batches:
-        p, n = np.unique(np.array([pattern(Look(raw.as_py())) for raw in batch.column(0)], np.int64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(n, pa.int64())], ["pattern", "n"])
+        for lo in range(0, batch.num_rows, 512):
+            seen = [Look(raw.as_py()) for raw in batch.column(1).slice(lo, 512)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 512), pa.array([pattern(t) for t in seen], pa.int32()), pa.array([t.bins.tobytes() for t in seen], pa.binary())], ["id", "pattern", "bins"])
 
 
-def sample_features(batches):
-    for batch in batches:
-        seen = [Look(raw.as_py()) for raw in batch.column(0)]
-        both = [features(t) for t in seen]
-        yield pa.RecordBatch.from_arrays([pa.array([pattern(t) for t in seen], pa.int64()), pa.array([a.astype(np.int32) for a, _ in both], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in both], pa.list_(pa.float32()))], ["pattern", "at", "x"])
+def features(bins: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hashed bin and value of the features of some texts: counts of words and of word shapes, each kind of each
+    text to unit length."""
+    sizes = np.array([len(x) // 4 for x in bins], np.int64)
+    flat = np.frombuffer(b"".join(bins), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(bins)), sizes)
+    keys = np.concatenate([(2 * row) << BITS | flat & BINS - 1, (2 * row + 1) << BITS | flat >> BITS])
+    keys, n = np.unique(keys, return_counts=True)
+    kind, x = keys >> BITS, np.log1p(n)
+    return kind >> 1, keys & BINS - 1, x / np.sqrt(np.bincount(kind, x * x))[kind]
 
 
 def fit(rows: list, posterior: dict[int, float], epochs: int = 30, seed: int = 1) -> tuple[np.ndarray, float]:
@@ -184,19 +220,20 @@ def fit(rows: list, posterior: dict[int, float], epochs: int = 30, seed: int = 1
     y = np.array([posterior[r["pattern"]] for r in rows])
     good = min(max(y.mean(), 1e-3), 1 - 1e-3)
     weight = y / good + (1 - y) / (1 - good)
-    at = [np.asarray(r["at"], np.int64) for r in rows]
-    x = [np.asarray(r["x"], float) for r in rows]
+    row, at, x = features([bytes(r["bins"]) for r in rows])
+    off = np.searchsorted(row, np.arange(len(rows) + 1))
     rng, total, steps = np.random.default_rng(seed), np.zeros(BINS), 0
     bias_total = 0.0
     for epoch in range(epochs):
         order = rng.permutation(len(rows))
         for lo in range(0, len(rows), 64):
             part = order[lo : lo + 64]
-            flat, values = np.concatenate([at[i] for i in part]), np.concatenate([x[i] for i in part])
-            owner = np.repeat(np.arange(len(part)), [len(at[i]) for i in part])
+            pick = np.concatenate([np.arange(off[i], off[i + 1]) for i in part])
+            flat, values = at[pick], x[pick]
+            owner = np.repeat(np.arange(len(part)), off[part + 1] - off[part])
             score = np.bincount(owner, w[flat] * values, len(part)) + bias
             error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y[part]) * weight[part] / len(part)
-            np.subtract.at(w, flat, 2.0 * error[owner] * values)
+            w -= np.bincount(flat, 2.0 * error[owner] * values, BINS)
             bias -= 0.1 * error.sum()
             if epoch >= epochs // 2:
                 total, bias_total, steps = total + w, bias_total + bias, steps + 1
@@ -204,15 +241,16 @@ def fit(rows: list, posterior: dict[int, float], epochs: int = 30, seed: int = 1
 
 
 def scored(w: np.ndarray, bias: float, posterior: dict[int, float]):
+    """(id, pattern, bins) to (id, posterior, score)."""
+
     def run(batches):
         for batch in batches:
-            post, score = [], []
-            for raw in batch.column(1):
-                t = Look(raw.as_py())
-                at, x = features(t)
-                post.append(posterior[pattern(t)])
-                score.append(1 / (1 + np.exp(-np.clip(float(w[at] @ x) + bias, -30, 30))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(post), pa.array(score)], ["id", "posterior", "score"])
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                row, at, x = features(part.column(2).to_pylist())
+                score = np.bincount(row, w[at] * x, part.num_rows) + bias
+                post = [posterior[p] for p in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(post, pa.float64()), pa.array(1 / (1 + np.exp(-np.clip(score, -30, 30))))], ["id", "posterior", "score"])
 
     return run
 
@@ -221,21 +259,27 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of docs: id, posterior (of good quality, from the votes), score (the linear scorer's) and kept
     (score of 0.5 or more).
 
-    Null and empty texts have no words; they get votes and a score like any text. Rows that repeat an id are scored
-    each. On an empty table the result is empty. Other columns of docs are not read.
+    Null and empty texts have no words; they get votes and a score like any text, and so do very long ones, whose words
+    are looked at whole. Rows that repeat an id are scored each; equal scores keep or go alike. On an empty table the
+    result is empty. Other columns of docs are not read, so their names cannot clash.
 
-    The votes of all documents are counted per pattern, at most 3 ** len(LABELLERS) of them, and EM runs on the counts.
-    The scorer learns the posteriors of at most `sample` documents, those first by a hash of id and text, and scores
-    all: its words and shapes reach further than the thresholds of the labellers.
+    One pass looks at each text and writes its vote pattern and hashed words. Votes are counted per pattern, at most
+    3 ** len(LABELLERS) of them, and EM runs on the counts. The scorer learns the posteriors of at most `sample`
+    documents, those first by a hash of id and words (picked by a threshold for the hash first, so that no task sorts
+    more than about twice as many), and scores all: its words and shapes reach further than the thresholds of the
+    labellers.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    counted = texts.select("text").mapInArrow(vote_patterns, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
-    patterns = np.array([r["pattern"] for r in counted], np.int64)
-    posterior = dict(zip(patterns.tolist(), expectation_maximisation(patterns, np.array([r["n"] for r in counted]))[0].tolist(), strict=True)) if counted else {}
-    first = texts.orderBy(F.xxhash64("id", "text"), "id").limit(sample).select("text")
-    rows = first.mapInArrow(sample_features, "pattern long, at array<int>, x array<float>").collect()
-    w, bias = fit(rows, posterior)
     kind = docs.schema[id_col].dataType.simpleString()
-    out = texts.mapInArrow(scored(w.astype(np.float32), bias, posterior), f"id {kind}, posterior double, score double")
+    seen = staged(texts.mapInArrow(looked_at, f"id {kind}, pattern int, bins binary"), "looks")
+    counted = seen.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
+    patterns, n = np.array([r["pattern"] for r in counted], np.int64), np.array([r["n"] for r in counted], np.int64)
+    posterior = dict(zip(patterns.tolist(), expectation_maximisation(patterns, n)[0].tolist(), strict=True)) if counted else {}
+    key = F.xxhash64("id", "bins")
+    below = min(1.0, (1.5 * sample + 200) / max(1, int(n.sum())))
+    low = seen.withColumn("key", key).where(F.pmod("key", F.lit(1 << 32)) < F.lit(int(below * (1 << 32)))).dropDuplicates(["key"])
+    rows = low.orderBy(F.pmod("key", F.lit(1 << 32)), "key").limit(sample).select("pattern", "bins").collect()
+    w, bias = fit(rows, posterior)
+    out = seen.mapInArrow(scored(w, bias, posterior), f"id {kind}, posterior double, score double")
     return out.select(F.col("id").alias(id_col), "posterior", "score", (F.col("score") >= 0.5).alias("kept"))
