@@ -13,10 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset and Spark
+    runs in one process (tests). A cluster without the setting is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='fillforge-')}"
         spark.sparkContext.setCheckpointDir(found)
     where = spark._jvm.org.apache.hadoop.fs.Path(found)
@@ -29,10 +35,16 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: lineage ends there and survives lost executors."""
+    """Writes df as Parquet into the shared folder and reads it back: lineage ends there and survives lost executors.
+    Once it is written, the shuffle files that it came from are of no use and go."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
@@ -69,16 +81,17 @@ def ship(spark: SparkSession) -> None:
     ship.done = app
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 
     edges: columns a, b (long). Returns node, component (its smallest reachable node) for each node that has an edge
-    to another one. Self-links and nulls are left out. Every round is a groupBy-min and a join on the node, so a hub
+    to another one. Self-links and nulls are left out. Rounds go on until nothing changes, which takes them some
+    log(nodes) ** 2 at most. Every round is a groupBy-min and a join on the node, so a hub
     meets partial aggregation and a join that Spark may split; each round's edges are written to the shared folder.
     """
     flat = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now, before = staged(flat, "edges"), None
-    for _ in range(rounds):
+    while True:
         sign = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if sign == before or not sign["n"]:
             break
