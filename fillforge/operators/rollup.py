@@ -18,15 +18,15 @@ def trade_order(time: str = "created_at") -> Column:
 
 
 def total(value: Column, df: DataFrame, column: str) -> Column:
-    """A sum in the column's own kind: DECIMAL sums that overflow are NULL, never an error."""
+    """A sum in the column's own kind (BIGINT or DECIMAL(38,0)): sums that overflow are NULL, never an error."""
     kind = df.schema[column].dataType.simpleString()
-    return F.try_sum(value).cast("decimal(38,0)") if kind.startswith("decimal") else F.sum(value).cast("long")
+    return F.try_sum(value).cast("decimal(38,0)" if kind.startswith("decimal") else "long")
 
 
 def volume_24h_by_slab(trades: DataFrame, network: str, as_of: Column) -> DataFrame:
     """volume_24h and trade_count_24h per market with fills in the last 24 hours; liquidation markers do not count."""
     recent = trades.where((F.col("network") == network) & F.expr(FILLS) & (F.col("created_at") >= as_of - F.expr("INTERVAL 24 HOURS")))
-    return recent.groupBy("slab_address").agg(F.coalesce(total(F.abs("size"), trades, "size"), F.lit(0)).alias("volume_24h"), F.count("*").alias("trade_count_24h"))
+    return recent.groupBy("slab_address").agg(total(F.abs("size"), trades, "size").alias("volume_24h"), F.count("*").alias("trade_count_24h"))
 
 
 def exact_volume(trades: DataFrame) -> DataFrame:
@@ -98,9 +98,12 @@ def last_price(trades: DataFrame) -> DataFrame:
 
 
 def volume_24h_usd(trades: DataFrame, markets: DataFrame, network: str, as_of: Column) -> DataFrame:
-    """Sum of size times price over the last 24 hours, in units of the market's decimals."""
+    """Sum of size times price over the last 24 hours, in units of the market's decimals. Products are added in their own
+    kind, BIGINT or DECIMAL; those and sums that overflow make the market's volume NULL."""
     recent = trades.where((F.col("network") == network) & F.expr(FILLS) & (F.col("created_at") >= as_of - F.expr("INTERVAL 24 HOURS")))
-    sums = recent.groupBy("slab_address").agg(F.sum(F.abs("size") * F.col("price")).alias("v"))
+    usd = F.try_multiply(F.abs("size"), F.col("price"))
+    whole = F.count(usd) == F.count("price")
+    sums = recent.groupBy("slab_address").agg(F.when(whole, F.try_sum(usd)).alias("v"))
     both = sums.join(markets.select("slab_address", clean_decimals(F.col("decimals")).alias("d")), "slab_address")
     return both.select("slab_address", (F.col("v").cast("double") / F.pow(F.lit(10.0), F.col("d"))).alias("volume_24h_usd"))
 

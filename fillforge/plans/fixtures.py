@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
@@ -23,6 +24,11 @@ SELECT event_id,
 FROM {events}
 """
 
+#: The same trades in the exact kinds of a numeric store: sizes beyond BIGINT, prices with six places.
+FXD = """
+SELECT * REPLACE (CAST(CAST(size AS DECIMAL(17, 0)) * CAST(100000000000000000000 AS DECIMAL(21, 0)) AS DECIMAL(38, 0)) AS size, CAST(price AS DECIMAL(38, 6)) AS price) FROM fx
+"""
+
 MK = """
 SELECT 'M' || CASE WHEN s_suppkey < 10 THEN '0' ELSE '' END || CAST(s_suppkey AS STRING) AS slab_address,
  'C' || CAST(s_nationkey AS STRING) AS mint_address,
@@ -59,6 +65,11 @@ def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FX, events=table(spark, sf_dir, "events"))
 
 
+def fxd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = (F.col("size").cast("decimal(17,0)") * F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)")
+    return fx(spark, sf_dir).withColumns({"size": size, "price": F.col("price").cast("decimal(38,6)")})
+
+
 def mk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MK, supplier=table(spark, sf_dir, "supplier"))
 
@@ -69,5 +80,5 @@ def sg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle(body: str) -> str:
     """DuckDB SQL with the views that body names in front of it; body starts with SELECT or with further views."""
-    views = [f"{n} AS ({sql.format(events='events', supplier='supplier')})" for n, sql in (("fx", FX), ("mk", MK), ("sg", SG))]
+    views = [f"{n} AS ({sql.format(events='events', supplier='supplier')})" for n, sql in (("fx", FX), ("mk", MK), ("sg", SG), ("fxd", FXD))]
     return "WITH " + ",\n".join(views) + (",\n" if not body.lstrip().upper().startswith("SELECT") else "\n") + body

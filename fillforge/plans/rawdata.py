@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fillforge.functions.binary import le_bytes, to_base58
 from fillforge.sources.scans import MAGIC
 
-PROGRAM = "FxfD37s1AZTeWfFQps9Zpebi2dNQ9QSSDtfMKdbsfKrD"
+PROGRAM = "FiLLForgeProgram111111111111111111111111111"
 
 
 def address(text: Column, size: int = 32) -> Column:

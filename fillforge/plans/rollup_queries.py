@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fillforge.operators import mutate, rollup
-from fillforge.plans.fixtures import AS_OF, fx, mk, oracle, sg
+from fillforge.plans.fixtures import AS_OF, fx, fxd, mk, oracle, sg
 
 
 
@@ -109,6 +109,20 @@ def swapped(spark, d):
 USD_SQL = f"""SELECT slab_address, CAST(sum(abs(size) * price) AS DOUBLE) / pow(10.0::DOUBLE, any_value(CASE WHEN decimals BETWEEN 0 AND 18 THEN decimals ELSE 6 END)) AS volume_24h_usd
  FROM fx JOIN (SELECT slab_address, decimals FROM mk) m USING (slab_address) WHERE network = 'devnet' AND {FILLS} AND created_at >= {AS_OF} - INTERVAL 24 HOURS GROUP BY 1"""
 
+
+
+def as_text(df, *columns):
+    """df with these columns as text, so that no comparison rounds them."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+def usd_of_decimals(spark, d):
+    trades = fxd(spark, d).withColumn("size", (F.col("size") / F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)"))
+    return rollup.volume_24h_usd(trades, mk(spark, d), "devnet", as_of())
+
+
+BARS_TEXT = bars_sql("1 hour").replace("FROM fx", "FROM fxd").replace("CAST(sum(size) AS BIGINT)", "sum(size)")
+
 GUESSED = "metadata_source = 'auto' AND mainnet_ca IS NULL AND symbol = 'SOL' AND logo_url IS NULL AND network = 'devnet'"
 
 QUERIES = {
@@ -126,6 +140,10 @@ QUERIES = {
     "leaderboard": (lambda s, d: rollup.leaderboard(fx(s, d)), oracle(f"b AS (SELECT trader, CAST(sum(abs(size)) AS BIGINT) AS volume, count(*) AS trades, count(DISTINCT slab_address) AS markets FROM fx WHERE {FILLS} GROUP BY 1 ORDER BY volume DESC, trader LIMIT 100) SELECT *, rank() OVER (ORDER BY volume DESC) AS rank FROM b")),
     "trader_history_top5": (lambda s, d: rollup.trader_history(fx(s, d), "trader", 5), oracle("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trader ORDER BY created_at DESC, tx_signature DESC, asset_index DESC, leg_index DESC) AS n FROM fx) WHERE n <= 5")),
     "market_history_top20": (lambda s, d: rollup.trader_history(fx(s, d), "slab_address", 20), oracle("SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slab_address ORDER BY created_at DESC, tx_signature DESC, asset_index DESC, leg_index DESC) AS n FROM fx) WHERE n <= 20")),
+    "volume_24h_decimal": (lambda s, d: as_text(rollup.volume_24h_by_slab(fxd(s, d), "devnet", as_of()), "volume_24h"), oracle(VOLUME_SQL.replace("FROM fx", "FROM fxd").replace("CAST(sum(abs(size)) AS BIGINT)", "CAST(sum(abs(size)) AS VARCHAR)"))),
+    "candles_decimal_1h": (lambda s, d: as_text(rollup.candles(fxd(s, d), "1 hour"), "open", "high", "low", "close", "volume"), oracle(f"b AS ({BARS_TEXT}) SELECT slab_address, bucket, trades, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in ('open', 'high', 'low', 'close', 'volume'))} FROM b")),
+    "leaderboard_decimal": (lambda s, d: as_text(rollup.leaderboard(fxd(s, d)), "volume"), oracle(f"b AS (SELECT trader, sum(abs(size)) AS volume, count(*) AS trades, count(DISTINCT slab_address) AS markets FROM fxd WHERE {FILLS} GROUP BY 1 ORDER BY volume DESC, trader LIMIT 100) SELECT trader, CAST(volume AS VARCHAR) AS volume, trades, markets, rank() OVER (ORDER BY volume DESC) AS rank FROM b")),
+    "volume_24h_usd_decimal": (usd_of_decimals, oracle(USD_SQL.replace("WHERE network", "WHERE fx.network"))),
     "public_trades": (lambda s, d: rollup.public_trades(fx(s, d)), oracle("SELECT trader, size, created_at FROM fx")),
     "upsert_trades_ignore": (lambda s, d: mutate.upsert_ignore(*slices(s, d)), oracle(f"{NEW} SELECT * FROM n")),
     "upsert_inserted_keys": (lambda s, d: mutate.upsert_ignore(*slices(s, d)).select(mutate.trade_key().alias("trade_key")), oracle(f"{NEW} SELECT tx_signature || '|' || asset_index || '|' || leg_index AS trade_key FROM n")),

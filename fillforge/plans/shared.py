@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset (tests), below a local folder that is set then."""
+    """A new path below spark.checkpoint.dir; where that is unset and Spark runs in one process (tests), below a local
+    folder that is set then. A cluster without the setting is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='fillforge-')}"
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fillforge.operators.decode import extract_trades
 from fillforge.operators.mutate import TRADE_KEY, upsert_ignore
-from fillforge.operators.rollup import bars
+from fillforge.operators.rollup import bars, total
 
 
 def run_to_end(writer, checkpoint: str) -> StreamingQuery:
@@ -42,13 +42,13 @@ def stream_candles(trades: DataFrame, interval: str, late: str) -> DataFrame:
 def stream_panes(trades: DataFrame, pane: str, late: str) -> DataFrame:
     """Volume and count per market and pane: what sliding windows are made of, one row instead of one per window."""
     fills = trades.where("not is_liquidation and size is not null").withWatermark("created_at", late)
-    return fills.groupBy("slab_address", F.window("created_at", pane)["start"].alias("pane")).agg(F.sum(F.abs("size")).cast("long").alias("volume"), F.count("*").alias("trades"))
+    return fills.groupBy("slab_address", F.window("created_at", pane)["start"].alias("pane")).agg(total(F.abs("size"), trades, "size").alias("volume"), F.count("*").alias("trades"))
 
 
 def rolling_volume(panes: DataFrame, length: str, slide: str) -> DataFrame:
     """Volume and count per market and sliding window, from panes."""
     w = F.window("pane", length, slide)
-    out = panes.groupBy("slab_address", w.alias("w")).agg(F.sum("volume").cast("long").alias("volume"), F.sum("trades").cast("long").alias("trades"))
+    out = panes.groupBy("slab_address", w.alias("w")).agg(total(F.col("volume"), panes, "volume").alias("volume"), F.sum("trades").cast("long").alias("trades"))
     return out.select("slab_address", F.col("w.start").alias("window_start"), "volume", "trades")
 
 
@@ -69,14 +69,14 @@ def ingest_stream(
     """Stream of raw transactions into the trades table at target (folders batch=n), each key once.
 
     The registry and the blocklist are read again for every batch, so new markets are known at once. A batch that fails
-    is run again and writes the same folder: only keys of other batches count as stored. sink gets what was inserted.
+    is run again and writes the same folder: only keys of earlier batches count as stored. sink gets what was inserted.
+    Of what is stored, only the keys are read, from a listing of the table's folder as a whole.
     """
     spark = raw.sparkSession
 
     def store(batch: DataFrame, number: int) -> None:
         rows = extract_trades(batch, programs, registry(), blocklist(), layouts)
-        before = [p for p in range(number) if exists(spark, f"{target}/batch={p}")]
-        stored = spark.read.parquet(*[f"{target}/batch={p}" for p in before]) if before else rows.limit(0)
+        stored = spark.read.parquet(target).where(F.col("batch") < number) if exists(spark, target) else rows.limit(0)
         upsert_ignore(stored, rows).write.mode("overwrite").parquet(f"{target}/batch={number}")
         if sink:
             emit_inserted(spark.read.parquet(f"{target}/batch={number}"), sink, number)

@@ -1,6 +1,7 @@
 """Boundary values and invariants of the operators."""
 
 import datetime as dt
+import decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -222,3 +223,19 @@ def test_addresses_are_valid(spark):
     from fillforge.functions.binary import ADDRESS, SIGNATURE
 
     assert one(spark.range(1).select(address(F.lit("M05")).rlike(ADDRESS).alias("a"), address(F.lit("S10"), 64).rlike(SIGNATURE).alias("b"))) == (True, True)
+
+
+def test_overflow_gives_null(spark):
+    """Sums and products beyond their kind are NULL, never an error."""
+    when = dt.datetime(2024, 1, 30, 12)
+    schema = "slab_address string, trader string, size {0}, price {1}, network string, is_liquidation boolean, created_at timestamp, tx_signature string, asset_index int, leg_index int"
+    markets = spark.createDataFrame([("M", 6)], "slab_address string, decimals int")
+    as_of = F.lit(dt.datetime(2024, 1, 31))
+    whole, places = decimal.Decimal(10) ** 37, decimal.Decimal(5000000)
+    for kinds, size, price in ((("bigint", "bigint"), 9 * 10**18, 5), (("decimal(38,0)", "decimal(38,6)"), 9 * whole, places)):
+        trades = spark.createDataFrame([("M", "T", size, price, "devnet", False, when, f"S{i}", 0, 0) for i in range(2)], schema.format(*kinds))
+        assert [r["volume_24h"] for r in rollup.volume_24h_by_slab(trades, "devnet", as_of).collect()] == [None]
+        assert [r["volume_24h_usd"] for r in rollup.volume_24h_usd(trades, markets, "devnet", as_of).collect()] == [None]
+        assert [r["volume"] for r in rollup.candles(trades, "1 hour").collect()] == [None] == [r["volume"] for r in rollup.leaderboard(trades).collect()]
+    exact = spark.createDataFrame([("M", "T", decimal.Decimal(10) ** 25, decimal.Decimal("2.5"), "devnet", False, when, "S", 0, 0)], schema.format("decimal(38,0)", "decimal(38,6)"))
+    assert rollup.volume_24h_usd(exact, markets, "devnet", as_of).first()["volume_24h_usd"] == 2.5e19
