@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fillforge.llm.common import staged, unwrapped, wrapped
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: A host is bad from this shrunken share of failing documents on.
 BAD_HOST = 0.6
 
@@ -43,7 +43,7 @@ def repeat_words(words: Column) -> Column:
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with the struct column _m of MEASURES. A null text counts as an empty one."""
+    """docs with the struct column _m of MEASURES and n_lines. A null text counts as an empty one."""
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def of(t: Column) -> Column:
@@ -79,14 +79,20 @@ def soft_failures(m: Column) -> Column:
     return sum((b.cast("int") for b in broken[1:]), broken[0].cast("int"))
 
 
-def bad_hosts(rows: DataFrame, host_col: str) -> DataFrame:
-    """Hosts (column _host) whose share of failing documents, shrunken by an empirical beta prior, reaches BAD_HOST.
+def with_flags(rows: DataFrame, *columns) -> DataFrame:
+    """The columns, with _base (fails a hard rule) and _soft (softer rules broken) of the measures _m."""
+    return rows.select(*columns, base_failed(F.col("_m")).alias("_base"), soft_failures(F.col("_m")).alias("_soft"))
+
+
+def bad_hosts(rows: DataFrame) -> DataFrame:
+    """Hosts (column _host) of rows (_h, _base, _soft) whose share of failing documents, shrunken by an empirical beta
+    prior, reaches BAD_HOST.
 
     The prior's mean and strength come from the moments of the hosts' shares, so a host with few documents stays near
     the corpus while a large one speaks for itself. Only two sums over hosts reach the driver.
     """
-    failed = (base_failed(F.col("_m")) | (soft_failures(F.col("_m")) > 0)).cast("long")
-    hosts = staged(rows.groupBy(F.col(host_col).alias("_host")).agg(F.count("*").alias("n"), F.sum(failed).alias("f")), "hosts")
+    failed = (F.col("_base") | (F.col("_soft") > 0)).cast("long")
+    hosts = staged(rows.groupBy(F.col("_h").alias("_host")).agg(F.count("*").alias("n"), F.sum(failed).alias("f")), "hosts")
     stat = hosts.agg(F.avg(F.col("f") / F.col("n")).alias("m"), F.var_pop(F.col("f") / F.col("n")).alias("v")).first()
     m, v = stat["m"] or 0.0, stat["v"] or 0.0
     strength = min(max(m * (1 - m) / v - 1, 1.0), 1e4) if v > 0 else 1e4
@@ -94,29 +100,33 @@ def bad_hosts(rows: DataFrame, host_col: str) -> DataFrame:
     return staged(hosts.where(shrunk >= BAD_HOST).select("_host", F.lit(True).alias("_bad")), "bad_hosts")
 
 
-def judged(rows: DataFrame, bad: DataFrame, host_col: str) -> DataFrame:
-    """rows with base_failed and kept. bad is joined by its own size: Spark broadcasts it only below its threshold."""
-    m = F.col("_m")
-    broken = (soft_failures(m) >= 2) | ((soft_failures(m) >= 1) & F.coalesce(F.col("_bad"), F.lit(False)))
-    out = rows.join(bad, rows[host_col].eqNullSafe(bad["_host"]), "left").drop("_host")
-    return out.withColumns({"base_failed": base_failed(m), "kept": ~base_failed(m) & ~broken}).drop("_bad")
+def judged(rows: DataFrame) -> DataFrame:
+    """Staged rows with _kept. The bad hosts are joined by their own size: Spark broadcasts them only below its threshold."""
+    bad = bad_hosts(rows.select("_h", "_base", "_soft"))
+    broken = (F.col("_soft") >= 2) | ((F.col("_soft") >= 1) & F.coalesce(F.col("_bad"), F.lit(False)))
+    return rows.join(bad, rows["_h"].eqNullSafe(bad["_host"]), "left").withColumn("_kept", ~F.col("_base") & ~broken)
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per row of docs: id, MEASURES, base_failed, kept.
+    """One row per row of docs: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines.
 
     Words are runs of non-blank characters; null and empty texts have none and fail. base_failed: under 50 words, or
     over half the words stand in a 3-word window that repeats. Else a document goes if it breaks two soft rules, or one
     and its host is bad; a clean document of a bad host stays. Null hosts form one host. Repeated rows are judged
-    each; columns of docs that are not named are not read.
+    each, very long texts whole; an empty table gives an empty result. Columns of docs that are not named are not read.
     """
     thin = docs.select(F.col(id_col).alias("_id"), F.col(host_col).alias("_h"), F.col(text_col).alias("_t"))
-    rows = staged(measured(thin, "_t").select("_id", "_h", "_m"), "measures")
-    out = judged(rows, bad_hosts(rows, "_h"), "_h")
-    return out.select(F.col("_id").alias(id_col), *[f"_m.{x}" for x in MEASURES], "base_failed", "kept")
+    out = judged(staged(with_flags(measured(thin, "_t"), "_id", "_h", "_m"), "measures"))
+    return out.select(F.col("_id").alias(id_col), *[f"_m.{x}" for x in MEASURES], F.col("_base").alias("base_failed"), F.col("_kept").alias("kept"), "_m.n_lines")
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The rows of docs that quality_report keeps, with the columns of docs."""
-    rows = measured(wrapped(docs, _h=host_col, _t=text_col), "_t").drop("_t")
-    return unwrapped(judged(rows, bad_hosts(rows.select("_h", "_m"), "_h"), "_h").where("kept"))
+    """The rows of docs that quality_report keeps, with the columns of docs.
+
+    Each text is measured once: the rows are written with their flags (those that no host's verdict can save without
+    their columns), and the verdicts of the hosts then filter what was written. Nulls, empty and very long texts,
+    repeated rows and empty tables go as in quality_report.
+    """
+    rows = with_flags(measured(wrapped(docs, _h=host_col, _t=text_col), "_t"), "_row", "_h")
+    rows = rows.select("_h", "_base", "_soft", F.when(~F.col("_base") & (F.col("_soft") < 2), F.col("_row")).alias("_row"))
+    return unwrapped(judged(staged(rows, "flagged")).where("_kept"))
