@@ -7,12 +7,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillforge.llm.common import components, ship, staged
+from fillforge.llm.common import components, ship, staged, unstage
 from fillforge.llm.minhash import each_block, joining
 
 TRAIN = 8192  # vectors at least that the codebooks are fitted on, 16 per centroid beyond that
 QUERIES = 256  # vectors whose neighbours among all rows are found by brute force to set the traversal's length
+MOST_QUERIES, LINKED = 4096, 64  # more are drawn, up to so many, until so many of them have links
 LEAST_CELLS, SPARE = 8, 4  # cells that a traversal visits at least; times the rank that reached the target recall
+UNSEEN_CELLS = 64  # cells that a traversal visits at least where fewer queries than LINKED have links
 PART = 512  # rows of a side of a block
 
 
@@ -86,13 +88,31 @@ def ranks_of_neighbours(index: MultiIndex, queries: np.ndarray, least: float):
             if batch.num_rows:
                 x = unit(stacked(batch.column(0)))
                 cos = queries @ x.T
-                found = [index.rank(queries[q], c) for q, y in np.argwhere((cos >= least) & (cos < 1 - 1e-12)).tolist() for c in index.cells(x[y : y + 1]).tolist()]
-                rank, n = np.unique(np.array(found, np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(rank, pa.int64()), pa.array(n, pa.int64())], ["rank", "n"])
+                hits = np.argwhere((cos >= least) & (cos < 1 - 1e-12))
+                cells = index.cells(x)
+                found = [(q, index.rank(queries[q], int(cells[y]))) for q, y in hits.tolist()]
+                both, n = np.unique(np.array(found, np.int64).reshape(-1, 2), axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(n, pa.int64())], ["query", "rank", "n"])
 
     return run
 
 
+def cells_to_visit(ranks: list, recall: float) -> tuple[int, int]:
+    """How many queries have links, and how many cells reach the target recall for that share of them: each query counts
+    alike, so that a large group of near copies does not speak for the rest. ranks: (query, rank, n) by query and rank."""
+    need: dict[int, int] = {}
+    total: dict[int, int] = {}
+    for r in ranks:
+        total[r["query"]] = total.get(r["query"], 0) + r["n"]
+    got = dict.fromkeys(total, 0)
+    for r in ranks:
+        q = r["query"]
+        if got[q] < recall * total[q]:
+            got[q] += r["n"]
+            need[q] = r["rank"] + 1
+    return len(need), int(np.quantile(list(need.values()), recall, method="higher")) if need else 0
+
+
 def visit(index: MultiIndex, cells: int):
     """(k, n, v) to a row (g = cell, visits = False) for the index and one (visits = True) per visited cell."""
 
@@ -148,57 +168,77 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
 
     Returns one row per row of vectors: id, n_links (other vectors linked directly), component_id (smallest id reachable
     by links, the own one included) and kept (id = component_id). Vectors that are null, empty, zero or hold null or
-    non-finite components, or whose length differs from the most common one, link with nothing and keep their id. A row
-    without id takes part but names no group. Equal vectors form one class, however many; each row of a class links
-    with all others. Labels and other columns are not read.
+    non-finite components link with nothing and keep their id; vectors of different lengths do not link. A row without
+    id takes part but names no group. Vectors that are equal once divided by their largest component form one class,
+    however many; each row of a class links with all others. An empty table gives an empty result. Labels and other
+    columns are not read, so their names cannot clash.
 
-    Codebooks of both halves are fitted on a bounded sample; every class is indexed. A brute-force search of QUERIES
-    vectors against all rows sets how many cells a traversal visits: SPARE times those that reach the target recall.
-    Members and visitors of a cell meet in blocks of PART by PART; a block returns counts and joining edges, no pairs.
+    Each length is indexed apart, by the jobs of linked(). Classes are told apart by a 64-bit hash of their vector.
     """
-    spark = vectors.sparkSession
-    ship(spark)
+    ship(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     good = F.coalesce(finite & F.exists("v", lambda x: x != 0), F.lit(False))
-    sized = rows.where(good).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    width = sized["d"] if sized else 0
-    rows = rows.select("id", F.when(good & (F.size("v") == width), F.xxhash64(F.transform("v", lambda x: x + 0.0))).alias("k"), F.col("v"))
-    rows = staged(rows.select("id", "k", F.when(F.col("k").isNotNull(), F.col("v")).alias("v")), "vectors")
+    largest = F.array_max(F.transform("v", F.abs))
+    rows = rows.select("id", F.when(good, F.transform("v", lambda x: x / largest + 0.0)).alias("v"))  # + 0.0: no negative zeros
+    rows = staged(rows.select("id", F.when(F.col("v").isNotNull(), F.xxhash64(F.size("v"), "v")).alias("k"), "v"), "vectors")
     classes = staged(rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.first("v").alias("v")), "classes")
-    total = classes.count()
-    if width < 2 or total < 2:
-        named = classes.select("k", (F.col("n") - 1).alias("n_links"), F.col("id").alias("component_id"))
-    else:
-        k = max(2, min(4096, 2 ** round(np.log2(max(total, 16) / 4) / 2)))
-        by_hash = lambda n: classes.orderBy(F.xxhash64("k"), "k").limit(n).select("v")
-        index = MultiIndex(unit([r["v"] for r in by_hash(max(TRAIN, 16 * k)).collect()]), k)
-        queries = unit([r["v"] for r in by_hash(QUERIES).collect()])
-        seen = classes.select("v").mapInArrow(ranks_of_neighbours(index, queries, least), "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).orderBy("rank").collect()
-        cells, got, links = LEAST_CELLS, 0, sum(r["n"] for r in seen)
-        for r in seen:
-            if got < recall * links:
-                got += r["n"]
-                cells = max(cells, SPARE * (r["rank"] + 1))
-        cells = min(cells, len(index.books[0]) * len(index.books[1]))
-        placed = staged(classes.select("k", "n", "v").mapInArrow(visit(index, cells), "k long, n long, v array<double>, g long, visits boolean, cell long, last long"), "placed")
-        parts = placed.groupBy("g").agg(F.ceil(F.count_if("visits") / PART).cast("int").alias("ms"), F.ceil(F.count_if(~F.col("visits")) / PART).cast("int").alias("ps"))
-        parts = parts.where("ms > 0 and ps > 0")
-        both = placed.join(parts, "g")
-        own = lambda c: F.pmod(F.xxhash64("k"), F.col(c)).cast("int")
-        every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-        rest = ("k", "n", "v", "visits", "cell", "last")
-        dealt = both.where("visits").select("g", own("ms").alias("m"), every("ps").alias("p"), *rest)
-        dealt = dealt.union(both.where("not visits").select("g", every("ms").alias("m"), own("ps").alias("p"), *rest))
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        found = staged(dealt.repartition(tasks, "g", "m", "p").sortWithinPartitions("g", "m", "p").mapInArrow(link(index, least), "a long, b long, n long"), "found")
-        groups = staged(components(found.where("b is not null").select("a", "b")), "groups")
-        counts = found.where("b is null").groupBy(F.col("a").alias("k")).agg(F.sum("n").alias("more"))
-        named = classes.select("k", "n", "id").join(counts, "k", "left").join(groups.withColumnRenamed("node", "k"), "k", "left")
-        named = named.select("k", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "id", F.coalesce("component", "k").alias("c"))
-        names = named.groupBy("c").agg(F.min("id").alias("component_id"))
-        named = named.join(names, "c").select("k", "n_links", "component_id")
+    sizes = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()
+    edge = "a long, b long, n long"
+    found = classes.sparkSession.createDataFrame([], edge)
+    for r in sizes:
+        if r["d"] > 1 and r["n"] > 1:  # the two classes of length 1 are opposite
+            found = found.union(linked(classes.where(F.size("v") == r["d"]), r["n"], least, recall))
+    groups = staged(components(found.where("b is not null").select("a", "b")), "groups")
+    counts = found.where("b is null").groupBy(F.col("a").alias("k")).agg(F.sum("n").alias("more"))
+    named = classes.select("k", "n", "id").join(counts, "k", "left").join(groups.withColumnRenamed("node", "k"), "k", "left")
+    named = named.select("k", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "id", F.coalesce("component", "k").alias("c"))
+    names = named.groupBy("c").agg(F.min("id").alias("component_id"))
+    named = named.join(names, "c").select("k", "n_links", "component_id")
     out = rows.select("id", "k").join(named, "k", "left")
     group = F.when(F.col("k").isNull(), F.col("id")).otherwise(F.col("component_id"))
     out = out.select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), group.alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+
+
+def linked(classes: DataFrame, total: int, least: float, recall: float) -> DataFrame:
+    """Links among `total` classes (k, n, v) of one length: rows (a, null, links of a's rows with other classes) and edges
+    (a, b, 0) that join all that is linked.
+
+    Codebooks of both halves are fitted on a bounded sample; every class is indexed. A brute-force search of QUERIES
+    vectors, or more where few have links, against all rows sets how many cells a traversal visits: SPARE times those
+    that reach the target recall. Members and visitors of a cell meet in blocks of PART by PART; a block returns counts
+    and joining edges, no pairs. A cell of N vectors is thus read N / PART times, which a cluster of near copies costs.
+    """
+    spark = classes.sparkSession
+    k = max(2, min(4096, 2 ** round(np.log2(max(total, 16) / 4) / 2)))
+    spread = F.pmod(F.xxhash64("k"), F.lit(1 << 32))
+
+    def by_hash(n: int) -> np.ndarray:
+        """The n vectors of the smallest hashes; a threshold leaves few more to be sorted."""
+        few = classes.where(spread < F.lit(int(min(1.0, (1.5 * n + 200) / total) * (1 << 32))))
+        return unit([r["v"] for r in few.orderBy(spread, "k").limit(n).select("v").collect()])
+
+    index = MultiIndex(by_hash(max(TRAIN, 16 * k)), k)
+    drawn, some, cells = QUERIES, 0, 0
+    while True:
+        queries = by_hash(drawn)
+        seen = classes.select("v").mapInArrow(ranks_of_neighbours(index, queries, least), "query long, rank long, n long")
+        some, cells = cells_to_visit(seen.groupBy("query", "rank").agg(F.sum("n").alias("n")).orderBy("query", "rank").collect(), recall)
+        if some >= LINKED or drawn >= min(MOST_QUERIES, total):
+            break
+        drawn *= 4
+    cells = max(LEAST_CELLS if some >= LINKED else UNSEEN_CELLS, SPARE * cells)
+    cells = min(cells, len(index.books[0]) * len(index.books[1]))
+    placed = staged(classes.select("k", "n", "v").mapInArrow(visit(index, cells), "k long, n long, v array<double>, g long, visits boolean, cell long, last long"), "placed")
+    parts = placed.groupBy("g").agg(F.ceil(F.count_if("visits") / PART).cast("int").alias("ms"), F.ceil(F.count_if(~F.col("visits")) / PART).cast("int").alias("ps"))
+    both = placed.join(parts.where("ms > 0 and ps > 0"), "g")
+    own = lambda c: F.pmod(F.xxhash64("k"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    rest = ("k", "n", "v", "visits", "cell", "last")
+    dealt = both.where("visits").select("g", own("ms").alias("m"), every("ps").alias("p"), *rest)
+    dealt = dealt.union(both.where("not visits").select("g", every("ms").alias("m"), own("ps").alias("p"), *rest))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = staged(dealt.repartition(tasks, "g", "m", "p").sortWithinPartitions("g", "m", "p").mapInArrow(link(index, least), "a long, b long, n long"), "found")
+    unstage(placed)
+    return out
