@@ -244,7 +244,8 @@ def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
 
     Returns one row per row of docs: the id column and n_tokens, then ids, or with digest=True ids_sha256 (of the
     decimal ids joined by one space) and decoded_sha256 (of the text that the library decodes from the ids). Null texts
-    count as empty and have no tokens. Rows that repeat an id are encoded each. Other columns of docs are not read.
+    count as empty and have no tokens. Rows that repeat an id are encoded each; an empty table gives an empty result.
+    Other columns of docs are not read, so their names cannot clash.
 
     Texts up to LONG characters are encoded where they lie. Longer ones are dealt out: white space cuts them into rows,
     and a piece without any cut is dealt as leaves, encoded in parallel and concatenated in a tree of joins.

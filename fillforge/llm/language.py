@@ -138,8 +138,10 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray, key: list[str
     lang is the language of the largest posterior among langs: text likelihood times the chances of the declared
     language and of the address suffix times the host's prior; text_lang is that of the text alone, null without
     trigrams. Null or empty texts are judged by the rest. Null hosts share one prior. Ties go to the language that comes
-    first by name. Repeated rows are judged each; without any language (nothing to fit on) lang is null. Columns that
-    are not named are not read.
+    first by name. Repeated rows are judged each; without any language (nothing to fit on) lang is null; an empty table
+    gives an empty result. Columns that are not named are not read, so their names cannot clash. Texts are read whole,
+    however long; as neighbouring trigrams depend on each other, the mean log likelihood of a text's trigrams counts
+    WEIGHT times at most, else a few hundred words would drown any other evidence.
     """
     ship(rows.sparkSession)
     suffix = F.lower(F.element_at(F.split(host, r"\."), -1))
@@ -175,5 +177,6 @@ def page_languages(pages: DataFrame, langs: list[str], table: np.ndarray) -> Dat
 
 
 def document_languages(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
-    """identify() for documents (doc_id, text, lang, source): lang is what is declared, source stands for the host."""
-    return identify(docs, langs, table, ["doc_id"], "text", F.col("lang"), F.col("source"), False)
+    """identify() for documents (doc_id, text, source): source stands for the host, and nothing is declared. The column
+    lang trains the likelihoods, so it is no evidence of its own here."""
+    return identify(docs, langs, table, ["doc_id"], "text", F.lit(None).cast("string"), F.col("source"), False)

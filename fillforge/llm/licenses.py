@@ -138,8 +138,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Words are runs of digits, letters a-z (A-Z lowered) and characters beyond ASCII. n_base counts all places where the
     words of a phrase of PHRASES stand consecutively, overlaps included; first_word and last_word are their smallest and
     largest start, null without any. labels adds those of the templates found. score is the largest share of a found
-    template's words that stand in place, else 1 with and 0 without a base place. Null and empty texts have no words.
-    Rows that repeat an id are scanned each. Other columns of docs are not read.
+    template's words that stand in place, else 1 with and 0 without a base place. Null and empty texts have no words;
+    very long ones are scanned whole. Rows that repeat an id are scanned each; an empty table gives an empty result.
+    Other columns of docs are not read, so their names cannot clash.
 
     Document frequencies of the licence words are summed over the whole corpus; only the words of the templates, a few
     hundred, reach the driver. Then each text is scanned where it lies: for each template the rarest word that it cannot

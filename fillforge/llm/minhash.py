@@ -153,7 +153,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one included) and kept (id = component_id). Words are runs of non-blank characters, A-Z count as a-z. A text with
     fewer words than width is one shingle; null, empty and blank texts have none, link with nothing and have
     component_id = id. Several rows of one id are judged text by text. A row without id takes part in its group but
-    names none; it is kept only if no row of its group has an id. Other columns of docs are not read.
+    names none; it is kept only if no row of its group has an id. Very long texts enter with their whole sets; an empty
+    table gives an empty result. Other columns of docs are not read, so their names cannot clash.
 
     1. One pass sketches each text. Equal sets fall into one class by their digest, whatever its size.
     2. Classes meet in band buckets; each bucket compares its members with its least one only.
@@ -172,7 +173,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each group that near_duplicates finds: the one of the smallest id, nulls last, and among
-    rows of that id the one of the smallest text hash. Repeated rows leave one. Rows without words stay as they are."""
+    rows of that id the one of the smallest text hash. Repeated rows leave one. Rows without words (null, empty or blank
+    text) stay as they are, and so does an empty table; other columns stay whatever their names are."""
     out = grouped(docs, id_col, text_col, width, percent)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("x")
     winners = out.where("n_shingles > 0").groupBy("c").agg(first).select(F.col("x.id").alias("_wid"), F.col("x.t").alias("_wt"), F.lit(True).alias("_one"))

@@ -60,8 +60,10 @@ def with_copies(rows: DataFrame, source: str, size: str, key: str, weights: tupl
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 8) -> DataFrame:
     """One row per row of docs: id, size, source_size, target (its source's) and taken (size times its copies).
 
-    Null texts have size 0. Sources that hold no words have target 0. Rows that repeat an id draw alike. Columns of
-    docs that are not named are not read.
+    Null and empty texts have size 0, very long ones are counted whole. Sources that hold no words have target 0. Rows
+    that repeat an id draw alike, and so do equal ids in every run. An empty table gives an empty result. Columns of docs
+    that are not named are not read, so their names cannot clash. What a source takes scatters around its target by the
+    root of the sum over its documents of size ** 2 * f * (1 - f), f being the fraction of its rate.
     """
     rows = staged(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_s"), word_count(F.col(text_col)).alias("size")), "sizes")
     out = with_copies(rows, "_s", "size", "_id", weights, share, most, seed)
@@ -69,7 +71,9 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 8) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is taken. A document without words is never taken."""
+    """The mix itself: the rows of docs, each as often as it is taken. A document without words (null, empty or blank
+    text) is never taken. Rows that repeat an id draw alike, null ids share one draw, null sources form one source; texts
+    of any length are counted whole; an empty table stays empty, and other columns stay whatever their names are."""
     rows = wrapped(docs, _key=id_col, _s=source_col, _t=text_col).withColumn("_size", word_count(F.col("_t"))).drop("_t")
     out = with_copies(rows, "_s", "_size", "_key", weights, share, most, seed).where("_size > 0 and _copies > 0")
     return unwrapped(out.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))))

@@ -143,6 +143,17 @@ def test_mix(spark, sf, docs):
     assert mixing.mix_report(docs.limit(0)).count() == 0
 
 
+def test_taken_words_come_near_the_targets(real):
+    """Within four standard deviations of the draws, source by source."""
+    by = {}
+    for r, d in zip(mixing.mix_report(real).orderBy("doc_id").collect(), real.orderBy("doc_id").collect(), strict=True):
+        by.setdefault(d["source"], []).append(r)
+    for rows in by.values():
+        target, size = rows[0]["target"], sum(r["size"] for r in rows)
+        f = target / size % 1
+        assert size == rows[0]["source_size"] and abs(sum(r["taken"] for r in rows) - target) <= 4 * (f * (1 - f) * sum(r["size"] ** 2 for r in rows)) ** 0.5 + 1e-6
+
+
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 10, "c": 1000}, {"a": 1}, {"a": 5, "b": 0}, {"b": 7, None: 7, "a": 900}, {c: 3**i for i, c in enumerate("abcdefg")}])
 def test_targets(spark, sizes):
     df = spark.createDataFrame(list(sizes.items()), "_source string, source_size long")
@@ -295,6 +306,40 @@ def test_repeated_runs_equal_brute_force(spark):
     assert want and want <= {(x["doc_id"], w) for x in got for w in range(x["start_word"], x["end_word"])}
 
 
+def test_one_word_over_and_over(spark):
+    rows = [(1, prose(41, 30) + " word" * 900), (2, " word" * 700 + " " + prose(42, 30)), (3, prose(43, 99))]
+    got = passages.passage_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(x["doc_id"], x["other_doc_id"]) for x in got} == {(2, 1)} and len(got) < 60
+    assert set(range(700)) <= {w for x in got for w in range(x["start_word"], x["end_word"])}
+
+
+def test_fuzzy_passages_are_found(spark):
+    """Passages of 100 words with every 20th changed, left out or doubled in turn, which is a similarity of 5-word shingles
+    of about 0.6: nine of ten are found."""
+    rows, want = [], {}
+    for i in range(0, 200, 2):
+        words = prose(1000 + i, 100).split()
+        copy = [x for j, w in enumerate(words) for x in ([w] if j % 20 != i % 20 else (["new"], [], [w, w])[j // 20 % 3])]
+        rows += [(i, " ".join([prose(2000 + i, 50), *words, prose(3000 + i, 50)])), (i + 1, " ".join([prose(4000 + i, 50), *copy, prose(5000 + i, 50)]))]
+        want[i + 1] = set(range(50, 50 + len(copy)))
+    found = {}
+    for x in passages.passage_report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert x["other_doc_id"] == x["doc_id"] - 1
+        found.setdefault(x["doc_id"], set()).update(range(x["start_word"], x["end_word"]))
+    assert sum(len(w & found.get(i, set())) >= 0.8 * len(w) for i, w in want.items()) >= 90
+
+
+def test_two_halves_with_other_holders(spark):
+    """Documents 20 and 21 share 88 words; others of smaller and larger ids hold either half alone."""
+    rows = []
+    for c in range(60):
+        one, two = prose(6000 + c, 44), prose(7000 + c, 44)
+        held = {11: one, 30: one, 10: two, 31: two, 20: f"{one} {two}", 21: f"{one} {two}"}
+        rows += [(100 * c + i, " ".join([prose(8000 + 100 * c + i, 30), x, prose(20000 + 100 * c + i, 30)])) for i, x in held.items()]
+    got = {(x["doc_id"], x["other_doc_id"]) for x in passages.passage_report(spark.createDataFrame(rows, "doc_id long, text string")).collect() if x["n_match"] >= 88}
+    assert {(100 * c + 21, 100 * c + 20) for c in range(60)} <= got
+
+
 def test_fenwick_chain_equals_quadratic():
     r = np.random.default_rng(2)
     for _ in range(30):
@@ -316,21 +361,37 @@ def test_fenwick_chain_equals_quadratic():
 # 3: vectors
 
 
+def vector_links(rows):
+    """Links by brute force: (number of links, smallest reachable id) by id. Odd vectors are zero here."""
+    x = np.array([v for _, v in rows], float)
+    x /= np.maximum(np.abs(x).max(axis=1), 1e-320)[:, None]
+    x /= np.maximum(np.linalg.norm(x, axis=1), 1e-9)[:, None]
+    hit = x @ x.T >= 0.9
+    np.fill_diagonal(hit, False)
+    ids = [i for i, _ in rows]
+    groups = top([(ids[a], ids[b]) for a, b in np.argwhere(hit).tolist()], ids)
+    return {i: (int(n), groups[i]) for i, n in zip(ids, hit.sum(axis=1), strict=True)}
+
+
 def test_vectors(spark):
     r = np.random.default_rng(4)
     base = r.normal(size=(300, 16))
     near = base[:60] + r.normal(size=(60, 16)) * 0.12
-    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([base, near, np.tile(base[7], (40, 1))]))]
-    odd = [(900, None), (901, [0.0] * 16), (902, [float("nan")] + [1.0] * 15), (903, []), (904, [1.0] * 3), (905, [None] + [1.0] * 15), (None, base[7].tolist())]
-    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumn("k", F.lit(1))
-    got = by_id(embeddings.embedding_duplicates(df), "vec_id")
-    x = np.array([v for _, v in rows])
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    hit = x @ x.T >= 0.9
-    links = [(a, b) for a, b in np.argwhere(hit).tolist() if a < b]
-    found = sum(got[i]["n_links"] for i in range(len(rows)))
-    assert found >= 0.9 * (2 * len(links)) and got[7]["n_links"] >= 41 and got[399]["component_id"] == 7
-    assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i for i, _ in odd[:-1]) and not got[None]["kept"]
+    tight = base[100] + r.normal(size=(150, 16)) * 0.05
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([base, near, tight, np.tile(base[7], (40, 1)), 3.0 * base[20:25]]))]
+    small = [(2000 + i, v.tolist()) for i, v in enumerate(r.normal(size=(6, 3)))] + [(2010, [1.0, 0.0, 0.0]), (2011, [2.0, 0.0, 0.0])]
+    line = [(2100, [1.0]), (2101, [2.0]), (2102, [-3.0]), (2103, [-1e-300]), (2104, [7.0])]
+    big = [(2200, [1e200, 0.0]), (2201, [2e200, 0.0]), (2202, [1e-300, 1e-302]), (2203, [0.0, 5.0]), (2204, [-0.0, 5.0])]
+    odd = [(900, None), (901, [0.0] * 16), (902, [float("nan")] + [1.0] * 15), (903, []), (904, [float("inf")] * 2), (905, [None] + [1.0] * 15), (None, base[7].tolist())]
+    df = spark.createDataFrame(rows + small + line + big + odd, "vec_id long, embedding array<double>").withColumn("k", F.lit(1)).withColumn("v", F.lit(2))
+    all_rows = embeddings.embedding_duplicates(df).collect()
+    got = {x["vec_id"]: x for x in all_rows}
+    want = vector_links(rows) | vector_links(small) | vector_links(line) | vector_links(big)
+    twins = {i for i, v in rows if vector_links([(0, v), (1, base[7].tolist())])[0][0]}
+    for i, (n, group) in want.items():
+        assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (n + (i in twins), group, group == i), i
+    assert len(all_rows) == len(rows + small + line + big + odd) and got[None]["component_id"] == 7 and not got[None]["kept"]
+    assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i, _ in odd[:-1])
     assert embeddings.embedding_duplicates(df.limit(0)).count() == 0 and embeddings.embedding_duplicates(df.where("vec_id = 7")).count() == 1
 
 
@@ -348,6 +409,18 @@ def test_vectors_recall(spark, sf):
 # 4: licences
 
 
+def test_license_places_equal_brute_force(docs, real):
+    for df in (docs, real):
+        got = Counter((r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in licenses.license_scan(df).collect())
+        want = Counter()
+        for r in df.select("doc_id", "text").collect():
+            text = re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or "")
+            w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+            at = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+            want[r["doc_id"], len(w), len(at), min((i for i, _ in at), default=None), max((i for i, _ in at), default=None), ",".join(sorted({x for _, x in at}))] += 1
+        assert got == want
+
+
 def test_licenses(docs, spark):
     texts = ["Licensed under CC BY-NC 4.0.", "All rights reserved. all RIGHTS reserved", "cc by cc by", "Foo. Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3.", "general public", None, "mit license"]
     got = by_id(licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
@@ -385,6 +458,37 @@ def test_every_template_in_a_long_text(spark):
 # 1, 6: classifier, languages
 
 
+def test_votes_and_scores_equal_the_definitions(docs, real):
+    """Vote patterns, posteriors and scores row by row: words, windows and blocks counted with plain sets."""
+    def plain(raw):
+        words = (raw or "").encode().split()
+        low = [w.lower() for w in words]
+        blocks = sum(len(set(low[i : i + weaklabels.BLOCK])) for i in range(0, len(low), weaklabels.BLOCK))
+        grams = list(zip(low, low[1:], low[2:], strict=False))
+        share = lambda a, b: a / b if b else 0.0
+        odd = lambda f: share(sum(bool(f(w)) for w in words), len(words))
+        known = odd(lambda w: w.lower() in weaklabels.FUNCTION_WORDS)
+        bad = weaklabels.BAD
+        return {
+            "v_odd_ends": bad * (odd(lambda w: w[-1:] in [bytes([c]) for c in b"#*$%&|!?<>~^=+_"]) >= 0.12), "v_runs": bad * (odd(lambda w: re.search(rb"([!-/:-@\[-`{-~])\1", w)) >= 0.12),
+            "v_distinct": bad * (len(low) >= 20 and 1 - blocks / len(low) >= 0.75), "v_windows": bad * (bool(grams) and 1 - len(set(grams)) / max(1, len(grams)) >= 0.3),
+            "v_prose": weaklabels.GOOD if known >= 0.08 else bad * (known < 0.01 and len(words) >= 50), "v_empty": bad * (len(words) < 3),
+        }
+
+    for df in (docs, real):
+        rows = df.select("text").collect()
+        for r in rows:
+            t = weaklabels.Look(r["text"].encode() if r["text"] is not None else None)
+            for name, vote in plain(r["text"]).items():
+                assert getattr(weaklabels, name)(t) == vote, (name, r["text"])
+    got = weaklabels.quality_scores(docs).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, *_ in AWKWARD) and all(0 <= r["score"] <= 1 and r["kept"] == (r["score"] >= 0.5) for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], set()).add((r["posterior"], r["score"]))
+    assert len(by[2]) == 1 and by[1] == by[2] == by[None] and by[4] == by[5] == by[6]
+
+
 def test_classifier(spark, sf, docs, real):
     got = by_id(weaklabels.quality_scores(real))
     truth = by_id(spark.read.parquet(f"{sf}/labels.parquet"))
@@ -406,7 +510,9 @@ def test_languages(spark, sf, real):
     langs, table = language.fit_text(real, "doc_id", "text", "lang")
     held = spark.read.parquet(sf.replace("0.001", "0.01") + "/documents.parquet").where("doc_id >= 300")
     got, truth = by_id(language.document_languages(held, langs, table)), by_id(held)
+    assert len(got) == len(truth) > 500  # rows that the likelihoods were not fitted on; their lang column is no evidence
     assert np.mean([got[i]["text_lang"] == r["lang"] for i, r in truth.items()]) > 0.9
+    assert np.mean([got[i]["lang"] == r["lang"] for i, r in truth.items()]) > 0.95
     pages = spark.createDataFrame([(1, "http://a.example.de/x", "<html lang=de><body>" + "und der die nicht " * 9), (2, "http://a.example.de/y", None), (3, None, ""), (3, None, ""), (4, "http://b.org/", "<html lang='fr'><script>the of</script></html>")], "page_id long, url string, html string")
     rows = {r["page_id"]: r for r in language.page_languages(pages, langs, table).collect()}
     assert (rows[1]["lang"], rows[2]["lang"], rows[4]["declared"], rows[4]["text_lang"], rows[3]["host"]) == ("de", "de", "fr", None, None)
@@ -415,6 +521,39 @@ def test_languages(spark, sf, real):
     assert language.page_languages(pages, *none).where("lang is null").count() == 5
 
 
+def test_languages_awkward(docs, real):
+    langs, table = language.fit_text(real, "doc_id", "text", "lang")
+    extra = docs.withColumns({x: F.lit("z") for x in ("ll", "host", "declared", "_hint", "first", "suffix", "n_grams")})
+    rows = language.document_languages(extra, langs, table).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(i for i, *_ in AWKWARD) and {r["lang"] for r in rows} <= set(langs)
+    got = {r["doc_id"]: r for r in rows}
+    assert (got[4]["text_lang"], got[5]["n_grams"], got[9]["n_grams"], got[None]["host"]) == (None, 0, 30_000, None)
+    assert all(0 < r["confidence"] <= 1 for r in rows) and language.document_languages(docs.limit(0), langs, table).count() == 0
+
+
+def test_fused_language_equals_the_product_of_its_evidence(spark):
+    """Posterior by hand: text likelihood, markup, suffix and a prior smoothed from all pages to suffix, domain, host."""
+    langs = ["de", "en", "fr"]
+    table = np.full((language.BINS, 3), -9.0)
+    urls = ["http://a.x.de/1"] * 3 + ["http://b.x.de/", "http://c.y.fr/", "http://c.y.fr/2", "http://z/"]
+    marks = ["de", "de", "en", "fr", "fr", None, "en"]
+    pages = spark.createDataFrame([(i, u, f"<html lang={m}>" if m else "<p>") for i, (u, m) in enumerate(zip(urls, marks, strict=True))], "page_id long, url string, html string")
+    said = lambda lang, x, right: 0.0 if x is None else np.log(right if x == lang else (1 - right) / 2)
+    hosts = [u.split("/")[2] for u in urls]
+    hints = [language.SUFFIX_LANGUAGE.get(h.split(".")[-1]) if "." in h else None for h in hosts]
+    first = np.array([[said(x, m, language.MARKUP_RIGHT) + said(x, h, language.SUFFIX_RIGHT) for x in langs] for m, h in zip(marks, hints, strict=True)])
+    counts = np.eye(3)[first.argmax(axis=1)]
+    levels = ([h.split(".")[-1] for h in hosts], [".".join(h.split(".")[-2:]) for h in hosts], hosts)
+    got = {r["page_id"]: r for r in language.page_languages(pages, langs, table).collect()}
+    for i in range(len(urls)):
+        prior = (counts.sum(axis=0) + 1) / (len(urls) + 3)
+        for level in levels:
+            of = counts[[x == level[i] for x in level]]
+            prior = (of.sum(axis=0) + language.SMOOTHING * prior) / (len(of) + language.SMOOTHING)
+        odds = np.exp(first[i]) * prior
+        assert got[i]["lang"] == langs[int(odds.argmax())] and got[i]["confidence"] == pytest.approx(odds.max() / odds.sum())
+
+
 def test_rare_languages_are_known(spark):
     rows = [(i, prose(i, 20), "en", "a") for i in range(200)] + [(900, "talo ja yksi kaksi kolme " * 6, "FI", "b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
