@@ -27,11 +27,14 @@ def filter_signature(txs: DataFrame) -> DataFrame:
 
 
 def explode_instructions(txs: DataFrame, programs: list[str]) -> DataFrame:
-    """signature, is_inner, group_no, ix, data, accounts of the programs' instructions: outer ones, then inner groups."""
-    outer = txs.select("signature", F.lit(False).alias("is_inner"), F.lit(0).alias("group_no"), F.posexplode("instructions").alias("ix", "i"))
-    groups = txs.select("signature", F.posexplode("innerInstructions").alias("group_no", "g"))
-    inner = groups.select("signature", F.lit(True).alias("is_inner"), "group_no", F.posexplode("g.instructions").alias("ix", "i"))
-    return outer.unionByName(inner).where(F.col("i.programId").isin(programs)).select("signature", "is_inner", "group_no", "ix", "i.data", "i.accounts")
+    """signature, is_inner, group_no, ix, data, accounts of the programs' instructions: outer ones, then inner groups.
+    Both come from one pass over the transactions."""
+    group = lambda inner, number, rows: F.struct(F.lit(inner).alias("is_inner"), number.cast("int").alias("group_no"), rows.alias("rows"))
+    outer = F.array(group(False, F.lit(0), F.col("instructions")))
+    inner = F.transform("innerInstructions", lambda g, k: group(True, k, g["instructions"]))
+    groups = txs.select("signature", F.explode(F.when(F.col("innerInstructions").isNull(), outer).otherwise(F.concat(outer, inner))).alias("g"))
+    rows = groups.select("signature", "g.is_inner", "g.group_no", F.posexplode("g.rows").alias("ix", "i"))
+    return rows.where(F.col("i.programId").isin(programs)).select("signature", "is_inner", "group_no", "ix", "i.data", "i.accounts")
 
 
 def with_bytes(instructions: DataFrame) -> DataFrame:
@@ -49,25 +52,29 @@ def in_range(size: Column) -> Column:
     return ((size["high"] > 0) | (size["low"] > 0)) & (size["high"] < F.lit(str(2**63)).cast("decimal(38,0)"))
 
 
-def decode_fills(decoded: DataFrame) -> DataFrame:
-    """Legs of single and batch instructions. A truncated last leg is left out, complete ones before it stay."""
-    b = F.col("bytes")
+def decode_legs(decoded: DataFrame) -> DataFrame:
+    """Legs of single and batch instructions, and markers (is_liquidation) of outer crank instructions whose action is
+    liquidate; those carry no side and no amounts. A truncated last leg is left out, complete ones before it stay."""
+    b, marker = F.col("bytes"), F.col("is_liquidation")
     legs = F.least(byte_at(b, 1), F.floor((F.octet_length(b) - LEG_START) / LEG_BYTES).cast("int"))
-    count = F.when(F.col("tag").isin(*SINGLE) & (F.octet_length(b) >= SINGLE_BYTES), 1).when(F.col("tag").isin(*BATCH), legs).otherwise(0)
+    cranked = (F.octet_length(b) >= CRANK_BYTES) & (byte_at(b, 1) == LIQUIDATE) & ~F.col("is_inner")
+    single, batch, crank = F.col("tag").isin(*SINGLE), F.col("tag").isin(*BATCH), F.col("tag") == CRANK
+    count = F.when(single & (F.octet_length(b) >= SINGLE_BYTES), 1).when(batch, legs).when(crank & cranked, 1).otherwise(0)
     each = decoded.withColumn("_n", count).where("_n > 0").withColumn("leg", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    start = F.when(F.col("tag").isin(*SINGLE), 1).otherwise(LEG_START + F.col("leg") * LEG_BYTES)
-    each = each.withColumn("_at", start).withColumn("_size", i128_parts(b, F.col("_at") + 2)).where(in_range(F.col("_size")))
+    start = F.when(single, 1).when(crank, 2).otherwise(LEG_START + F.col("leg") * LEG_BYTES)
+    each = each.withColumns({"is_liquidation": crank, "_at": start}).withColumn("_size", F.when(~marker, i128_parts(b, F.col("_at") + 2))).where(marker | in_range(F.col("_size")))
+    trader = F.get("accounts", F.when(marker, 2).otherwise(0))
     slab = F.get("accounts", F.when(F.col("tag").isin(*MARKET_IS_THIRD), 2).otherwise(1))
-    out = each.select("signature", *ORDER, F.get("accounts", F.lit(0)).alias("trader"), slab.alias("slab_address"), uint_le(b, F.col("_at"), 2).cast("int").alias("asset_index"), side_of(F.col("_size")).alias("side"), abs_text(F.col("_size")).alias("size_text"), abs_decimal(F.col("_size")).alias("size"))
+    out = each.select("signature", *ORDER, trader.alias("trader"), slab.alias("slab_address"), uint_le(b, F.col("_at"), 2).cast("int").alias("asset_index"), F.when(~marker, side_of(F.col("_size"))).alias("side"), abs_text(F.col("_size")).alias("size_text"), abs_decimal(F.col("_size")).alias("size"), "is_liquidation")
     return out.where(F.col("trader").rlike(ADDRESS) & F.col("slab_address").rlike(ADDRESS))
 
 
+def decode_fills(decoded: DataFrame) -> DataFrame:
+    return decode_legs(decoded).where("not is_liquidation").drop("is_liquidation")
+
+
 def decode_liquidations(decoded: DataFrame) -> DataFrame:
-    """Markers of outer crank instructions whose action is liquidate; they carry no amounts."""
-    b = F.col("bytes")
-    rows = decoded.where((F.col("tag") == CRANK) & (F.octet_length(b) >= CRANK_BYTES) & (byte_at(b, 1) == LIQUIDATE) & ~F.col("is_inner"))
-    out = rows.select("signature", *ORDER[:3], F.lit(0).alias("leg"), F.get("accounts", F.lit(2)).alias("trader"), F.get("accounts", F.lit(1)).alias("slab_address"), uint_le(b, 2, 2).cast("int").alias("asset_index"))
-    return out.where(F.col("trader").rlike(ADDRESS) & F.col("slab_address").rlike(ADDRESS))
+    return decode_legs(decoded).where("is_liquidation").drop("is_liquidation", "side", "size_text", "size")
 
 
 def drop_inner_echo(fills: DataFrame) -> DataFrame:
@@ -76,9 +83,10 @@ def drop_inner_echo(fills: DataFrame) -> DataFrame:
     return fills.withColumn("_n", F.row_number().over(same)).where("not is_inner or _n = 1").drop("_n")
 
 
-def numbered(rows: DataFrame, base: int = 0) -> DataFrame:
-    """leg_index from base in the order of the transaction, whatever the registry knows."""
-    return rows.withColumn("leg_index", (F.row_number().over(W.partitionBy("signature").orderBy(*ORDER)) - 1 + base).cast("int"))
+def numbered(rows: DataFrame) -> DataFrame:
+    """leg_index in the order of the transaction, whatever the registry knows: fills from 0, markers from MARKER_BASE."""
+    base = F.when(F.col("is_liquidation"), MARKER_BASE).otherwise(0)
+    return rows.withColumn("leg_index", (F.row_number().over(W.partitionBy("signature", "is_liquidation").orderBy(*ORDER)) - 1 + base).cast("int"))
 
 
 def account_bytes(data: Column) -> Column:
@@ -120,9 +128,7 @@ def extract_trades(txs: DataFrame, programs: list[str], registry: DataFrame, blo
     """
     good = filter_signature(filter_successful(txs)).dropDuplicates(["signature"])
     decoded = with_bytes(explode_instructions(good, programs))
-    fills = numbered(drop_inner_echo(decode_fills(decoded))).withColumn("is_liquidation", F.lit(False))
-    markers = numbered(decode_liquidations(decoded), MARKER_BASE).withColumn("is_liquidation", F.lit(True))
-    rows = fills.unionByName(markers, allowMissingColumns=True)
+    rows = numbered(drop_inner_echo(decode_legs(decoded)))
     rows = rows.join(registry.select("slab_address").distinct(), "slab_address", "left_semi").join(blocklist.select("slab_address").distinct(), "slab_address", "left_anti")
     priced = rows.join(transaction_prices(good, layouts), ["signature", "slab_address"], "left")
     price = F.when(~F.col("is_liquidation"), F.coalesce("price", F.lit(0)).cast("decimal(38,6)"))

@@ -16,7 +16,7 @@ BODIES = """SELECT event_id, CASE event_id % 8
  WHEN 1 THEN '[{"signature":"a"},{"signature":"b","extra":{"k":1}}]'
  WHEN 2 THEN '{"signature":"a"'
  WHEN 3 THEN '[{"signature":"a"},{"signature":5}]'
- WHEN 4 THEN '[{"signature":"a","instructions":[{"constructor":1}]}]'
+ WHEN 4 THEN '[{"signature":"a","instructions":[{"' || CASE event_id % 3 WHEN 0 THEN 'constructor' WHEN 1 THEN 'prototype' ELSE '__proto__' END || '":null}]}]'
  WHEN 5 THEN '[{},{},{},{}]'
  WHEN 6 THEN '[{"innerInstructions":[{"instructions":[{"accounts":["x",7]}]}]}]'
  ELSE '[{"accountData":[{"account":null}]}]' END AS body FROM {events}"""
@@ -24,8 +24,8 @@ BODIES = """SELECT event_id, CASE event_id % 8
 
 def validation(s, d):
     raw = s.sql(BODIES.replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}"), events=table(s, d, "events"))
-    good, bad = deliveries.validate_deliveries(deliveries.read_deliveries(raw), 3)
-    return good.withColumn("reason", F.lit("ok")).unionByName(bad).groupBy("reason").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.size("items"), F.lit(0))).alias("txs"))
+    marked = deliveries.mark_deliveries(deliveries.read_deliveries(raw), 3)
+    return marked.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"), F.sum(F.coalesce(F.size("items"), F.lit(0))).alias("txs"))
 
 
 VALIDATION_SQL = """SELECT CASE WHEN k IN (0, 1) THEN 'ok' WHEN k = 2 THEN 'bad_json' WHEN k = 5 THEN 'too_many' ELSE 'invalid_format' END AS reason,
@@ -73,7 +73,7 @@ SELECT {address_sql('slab_address')} AS slab_address, {address_sql('trader')} AS
 
 
 def leg_numbers(s, d):
-    rows = fx(s, d).where("not is_liquidation").selectExpr("event_id", "tx_signature as signature", "leg_index = 2 as is_inner", "0 as group_no", "cast(event_id as int) as ix", "0 as leg")
+    rows = fx(s, d).where("not is_liquidation").selectExpr("event_id", "tx_signature as signature", "leg_index = 2 as is_inner", "0 as group_no", "cast(event_id as int) as ix", "0 as leg", "is_liquidation")
     return decode.numbered(rows).select("event_id", "leg_index")
 
 
