@@ -62,10 +62,11 @@ def decode_legs(decoded: DataFrame) -> DataFrame:
     count = F.when(single & (F.octet_length(b) >= SINGLE_BYTES), 1).when(batch, legs).when(crank & cranked, 1).otherwise(0)
     each = decoded.withColumn("_n", count).where("_n > 0").withColumn("leg", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     start = F.when(single, 1).when(crank, 2).otherwise(LEG_START + F.col("leg") * LEG_BYTES)
-    each = each.withColumns({"is_liquidation": crank, "_at": start}).withColumn("_size", F.when(~marker, i128_parts(b, F.col("_at") + 2))).where(marker | in_range(F.col("_size")))
+    each = each.withColumns({"is_liquidation": crank, "_at": start}).withColumn("_size", i128_parts(b, F.col("_at") + 2)).where(in_range(F.col("_size")) | marker)
     trader = F.get("accounts", F.when(marker, 2).otherwise(0))
     slab = F.get("accounts", F.when(F.col("tag").isin(*MARKET_IS_THIRD), 2).otherwise(1))
-    out = each.select("signature", *ORDER, trader.alias("trader"), slab.alias("slab_address"), uint_le(b, F.col("_at"), 2).cast("int").alias("asset_index"), F.when(~marker, side_of(F.col("_size"))).alias("side"), abs_text(F.col("_size")).alias("size_text"), abs_decimal(F.col("_size")).alias("size"), "is_liquidation")
+    out = each.select("signature", *ORDER, trader.alias("trader"), slab.alias("slab_address"), uint_le(b, F.col("_at"), 2).cast("int").alias("asset_index"), side_of(F.col("_size")).alias("side"), abs_text(F.col("_size")).alias("size_text"), abs_decimal(F.col("_size")).alias("size"), "is_liquidation")
+    out = out.withColumns({c: F.when(~marker, F.col(c)) for c in ("side", "size_text", "size")})
     return out.where(F.col("trader").rlike(ADDRESS) & F.col("slab_address").rlike(ADDRESS))
 
 

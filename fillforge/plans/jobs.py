@@ -1,8 +1,9 @@
-"""The four pipelines, from operators."""
+"""The pipelines, from operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from fillforge.operators import decode, enrich, mutate, registry, repair, rollup
 from fillforge.sources import deliveries, scans
@@ -36,3 +37,25 @@ def repair_job(trades: DataFrame, prices: DataFrame, network: str) -> DataFrame:
     """trades with the prices that their transactions know, where none was stored."""
     zero = scans.scan_zero_price_trades(trades, network)
     return repair.apply_price_repairs(trades, repair.repair_prices(zero, prices))
+
+
+def repair_from_transactions_job(trades: DataFrame, txs: DataFrame, layouts: DataFrame, network: str) -> DataFrame:
+    """trades with prices read from the account data of their own transactions where none was stored. Only transactions
+    of trades without a price are opened."""
+    zero = scans.scan_zero_price_trades(trades, network)
+    wanted = txs.join(zero.select(F.col("tx_signature").alias("signature")).distinct(), "signature", "left_semi")
+    prices = decode.transaction_prices(wanted, layouts).select(F.col("signature").alias("tx_signature"), "slab_address", F.lit(0).alias("pos"), "price")
+    return repair.apply_price_repairs(trades, repair.repair_prices(zero, prices))
+
+
+def ingest_outcomes(rows: DataFrame, stored: DataFrame, markets: DataFrame, blocklist: DataFrame, keys: list[str] = mutate.TRADE_KEY) -> DataFrame:
+    """rows with `outcome`: blocked, failed (unknown market or no key), skipped (key stored already) or indexed, for the
+    counters of a run. One key is expected once in rows."""
+    slabs = lambda df, flag: df.select("slab_address", F.lit(True).alias(flag)).distinct()
+    seen = stored.select(*keys, F.lit(True).alias("_seen")).distinct()
+    marked = rows.join(slabs(blocklist, "_blocked"), "slab_address", "left").join(slabs(markets, "_known"), "slab_address", "left").join(seen, keys, "left")
+    keyless = F.lit(False)
+    for k in keys:
+        keyless = keyless | F.col(k).isNull()
+    outcome = F.when(F.col("_blocked"), "blocked").when(F.col("_known").isNull() | keyless, "failed").when(F.col("_seen"), "skipped").otherwise("indexed")
+    return marked.withColumn("outcome", outcome).select(*rows.columns, "outcome")

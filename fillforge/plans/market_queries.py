@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fillforge.functions import clean
 from fillforge.functions.binary import abs_text, i128_parts, le_bytes, u128_le, uint_le
 from fillforge.operators import decode, enrich, registry, repair
+from fillforge.plans import jobs
 from fillforge.plans.fixtures import AS_OF, fx, mk, oracle, table
 from fillforge.plans.rawdata import PROGRAM, account_data, address, address_sql, instruction, market_accounts, raw_transactions, token_pairs
 from fillforge.sources import deliveries, scans
@@ -258,6 +259,83 @@ def mints(s, d):
     return enrich.mint_lookup(pairs_, wanted)
 
 
+def transaction_filters(s, d):
+    k = F.col("event_id") % 4
+    signature = F.when(k == 0, address(F.col("tx_signature"), 64)).when(k == 1, address(F.col("tx_signature"), 88)).when(k == 2, address(F.col("tx_signature"), 63)).otherwise(F.concat(F.lit("0"), address(F.col("tx_signature"), 64)))
+    txs = fx(s, d).select("event_id", signature.alias("signature"), F.when(F.col("event_id") % 5 == 0, "failed").alias("transactionError"))
+    return decode.filter_signature(decode.filter_successful(txs)).select("event_id")
+
+
+def size_range(s, d):
+    """Zero, the smallest number (out of range), its neighbour, the largest one, and small ones."""
+    halves = "case event_id % 5 when 2 then 1 when 3 then -1 when 4 then event_id else 0 end as low, case event_id % 5 when 1 then -9223372036854775807 - 1 when 2 then -9223372036854775807 - 1 when 3 then 9223372036854775807 else 0 end as high"
+    rows = table(s, d, "events").selectExpr("event_id", *halves.split(", ")).select("event_id", F.concat(le_bytes(F.col("low"), 8), le_bytes(F.col("high"), 8)).alias("b"))
+    sized = rows.withColumn("size", i128_parts(F.col("b"), 0)).where(decode.in_range(F.col("size")))
+    return sized.select("event_id", decode.side_of(F.col("size")).alias("side"), abs_text(F.col("size")).alias("size_text"))
+
+
+SIZE_RANGE_SQL = """SELECT event_id, CASE WHEN event_id % 5 = 2 THEN 'short' ELSE 'long' END AS side,
+ CASE WHEN event_id % 5 = 4 THEN CAST(event_id AS VARCHAR) ELSE '170141183460469231731687303715884105727' END AS size_text FROM events WHERE event_id % 5 >= 2"""
+
+
+def pubkeys(s, d):
+    text = """case c_custkey % 4 when 0 then '"K' || c_custkey || '"' when 1 then '{"signer":true,"pubkey":"K' || c_custkey || '"}' when 2 then '{"other":1}' else 'null' end"""
+    return table(s, d, "customer").selectExpr("c_custkey", f"parse_json({text}) as v").select("c_custkey", deliveries.normalize_pubkey(F.col("v")).alias("pubkey"))
+
+
+def envelopes(s, d):
+    """Keys as text, as objects, a program named by an instruction only, another program, a failure, another method."""
+    body = """select '{"method":"' || case when event_id % 6 = 5 then 'other' else 'transactionNotification' end || '","params":{"result":{' || case when event_id % 2 = 0 then '"signature":"top' || event_id || '",' else '' end
+     || '"transaction":{"signatures":["first' || event_id || '"],"message":{"accountKeys":[' || case event_id % 6 when 0 then '"x","prog"' when 1 then '{"pubkey":"prog"}' else '"x"' end
+     || '],"instructions":[{"programId":"' || case when event_id % 6 in (2, 4, 5) then 'prog' else 'x' end || '"}]}},"meta":{"err":' || case when event_id % 6 = 4 then '{"InstructionError":[0]}' else 'null' end || '}}}}' as value from {events}"""
+    raw = s.sql(body.replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}"), events=table(s, d, "events"))
+    return deliveries.stream_envelopes(raw, programs=["prog"]).select("signature", F.size("instructions").cast("long").alias("n"))
+
+
+def token_responses(s, d):
+    body = """'[{"chainId":"c' || p_size % 3 || '","baseToken":{"address":"' || p_brand || '","symbol":"S"},"liquidity":{"usd":' || p_size || '}},{"info":{"imageUrl":"https://a/' || p_partkey || '"}}]'"""
+    pairs_ = scans.read_token_pairs(table(s, d, "part").selectExpr("p_partkey as ca", f"{body} as body"))
+    asset = """'{"content":{"metadata":{"symbol":"S' || p_size || '","name":"N"}},"token_info":{"decimals":' || p_size % 19 || '}}'"""
+    assets = scans.read_assets(table(s, d, "part").selectExpr("p_partkey as ca", f"{asset} as body"))
+    flat = pairs_.selectExpr("ca", "pos", "pair.chainId as chain", "pair.baseToken.address as address", "pair.liquidity.usd as usd", "pair.info.imageUrl as image")
+    return flat.join(assets.selectExpr("ca", "asset.content.metadata.symbol as symbol", "asset.token_info.decimals as decimals"), "ca")
+
+
+TOKEN_SQL = """SELECT p_partkey AS ca, CAST(pos AS INT) AS pos, CASE WHEN pos = 0 THEN 'c' || p_size % 3 END AS chain, CASE WHEN pos = 0 THEN p_brand END AS address, CASE WHEN pos = 0 THEN CAST(p_size AS DOUBLE) END AS usd,
+ CASE WHEN pos = 1 THEN 'https://a/' || p_partkey END AS image, 'S' || p_size AS symbol, CAST(p_size % 19 AS INT) AS decimals FROM part, (SELECT unnest([0, 1]) AS pos)"""
+
+
+def named(trades):
+    """trades with keys as the raw transactions have them."""
+    return trades.withColumns({"tx_signature": address(F.col("tx_signature"), 64), "slab_address": address(F.col("slab_address"))})
+
+
+def marked_fills(s, d):
+    fills_ = named(fx(s, d)).where("not is_liquidation").select("event_id", F.col("tx_signature").alias("signature"), "slab_address")
+    prices = decode.transaction_prices(raw_transactions(fx(s, d), F.lit(False)), no_layouts(s))
+    out = decode.attach_mark_price(fills_.where("event_id % 2 = 0"), prices).unionByName(decode.attach_mark_price(fills_.where("event_id % 2 = 1"), prices, required=True))
+    return out.select("event_id", F.col("price").cast("double").alias("price"))
+
+
+PRICES_SQL = "p AS (SELECT tx_signature, slab_address, first(price ORDER BY event_id) AS p FROM fx WHERE price > 0 GROUP BY ALL)\n"
+
+
+def repaired_from_transactions(s, d):
+    trades = named(fx(s, d))
+    out = jobs.repair_from_transactions_job(trades, raw_transactions(fx(s, d), F.lit(False)), no_layouts(s), "mainnet")
+    return out.select("event_id", F.col("price").cast("double").alias("price"))
+
+
+def outcomes(s, d):
+    trades = fx(s, d)
+    marked = jobs.ingest_outcomes(trades, trades.where("event_id % 9 = 0"), mk(s, d).where("network = 'devnet'"), blocklist(s, d))
+    return repair.run_summary(marked, **{x: F.col("outcome") == x for x in ("blocked", "failed", "skipped", "indexed")})
+
+
+OUTCOMES_SQL = f"""k AS ({BLOCK_SQL}), o AS (SELECT CASE WHEN slab_address IN (SELECT slab_address FROM k) THEN 'blocked' WHEN slab_address NOT IN (SELECT slab_address FROM mk WHERE network = 'devnet') THEN 'failed'
+ WHEN event_id % 9 = 0 THEN 'skipped' ELSE 'indexed' END AS o FROM fx)
+SELECT {", ".join(f"count(*) FILTER (WHERE o = '{x}') AS {x}" for x in ("blocked", "failed", "skipped", "indexed"))} FROM o"""
+
 SANE_SQL = "CASE WHEN v > 0 AND v < 1000000000000 THEN v END"
 CTRL = "'[' || chr(1) || '-' || chr(31) || chr(127) || '<>]'"
 QUERIES = {
@@ -302,4 +380,12 @@ QUERIES = {
     "incremental_scan": (scanned, oracle(SIG_SQL + "SELECT slab_address, tx_signature, slot FROM n WHERE k <= 50")),
     "advance_cursor": (advanced, oracle(SIG_SQL + "SELECT slab_address, max(slot) AS slot FROM (SELECT slab_address, slot FROM c UNION ALL SELECT slab_address, slot FROM n WHERE k <= 50) GROUP BY 1")),
     "mint_lookup": (mints, "WITH w AS (SELECT DISTINCT CASE WHEN o_orderkey % 2 = 0 THEN 'main' || o_custkey ELSE 'dev' || o_custkey END AS address FROM orders), b AS (SELECT 'main' || c_custkey AS address, 'dev' || (c_custkey + 7) AS other FROM customer UNION ALL SELECT 'dev' || (c_custkey + 7), 'main' || c_custkey FROM customer) SELECT * FROM w JOIN b USING (address)"),
+    "transaction_filters": (transaction_filters, "SELECT event_id FROM events WHERE event_id % 4 < 2 AND event_id % 5 <> 0"),
+    "size_range": (size_range, SIZE_RANGE_SQL),
+    "normalize_pubkey": (pubkeys, "SELECT c_custkey, CASE WHEN c_custkey % 4 < 2 THEN 'K' || c_custkey END AS pubkey FROM customer"),
+    "stream_envelopes": (envelopes, "SELECT CASE WHEN event_id % 2 = 0 THEN 'top' ELSE 'first' END || event_id AS signature, CAST(1 AS BIGINT) AS n FROM events WHERE event_id % 6 < 3"),
+    "token_responses": (token_responses, TOKEN_SQL),
+    "attach_mark_price": (marked_fills, oracle(PRICES_SQL + "SELECT event_id, CAST(coalesce(p, 0) AS DOUBLE) AS price FROM fx LEFT JOIN p USING (tx_signature, slab_address) WHERE NOT is_liquidation AND (event_id % 2 = 0 OR p IS NOT NULL)")),
+    "repair_from_transactions": (repaired_from_transactions, oracle(PRICES_SQL + "SELECT event_id, CAST(CASE WHEN network = 'mainnet' AND price = 0 THEN coalesce(p, price) ELSE price END AS DOUBLE) AS price FROM fx LEFT JOIN p USING (tx_signature, slab_address)")),
+    "ingest_outcomes": (outcomes, oracle(OUTCOMES_SQL)),
 }

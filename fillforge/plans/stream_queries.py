@@ -68,6 +68,28 @@ def ingest(s, d):
     return out.selectExpr("slab_address", "trader", "side", "cast(size as bigint) as size", "size_text", "cast(price as double) as price", "cast(fee as double) as fee", "tx_signature", "asset_index", "leg_index", "is_liquidation")
 
 
+def growing_registry(s, d):
+    """Two batches; the registry holds half of the markets at first and, from the sink of the first batch on, all. The
+    result is what the sinks got: fills, no markers."""
+    trades = fx(s, d)
+    landed, target, known, sunk = (shared_path(s, x) for x in ("landed", "trades", "registry", "sunk"))
+    for part in (0, 1):
+        txs = raw_transactions(trades.where(f"floor(event_id / 3) % 2 = {part}"), F.col("leg_index") == 2)
+        txs.coalesce(1).write.mode("append").parquet(landed)
+    slabs = trades.select(address(F.col("slab_address")).alias("slab_address")).where("slab_address not like 'Mz3%'").distinct()
+    slabs.where("slab_address like 'Mz%'").write.parquet(known)
+
+    def sink(new, number):
+        new.write.mode("overwrite").parquet(f"{sunk}/batch={number}")
+        if number == 0:
+            slabs.where("slab_address not like 'Mz%'").write.mode("append").parquet(known)
+
+    raw = s.readStream.schema(txs.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    blocked = slabs.where("slab_address like 'M17%'")
+    streams.ingest_stream(raw, [PROGRAM], lambda: s.read.parquet(known), lambda: blocked, no_layouts(s), target, shared_path(s, "checkpoint"), sink)
+    return s.read.parquet(sunk).selectExpr("slab_address", "trader", "side", "cast(size as bigint) as size", "size_text", "cast(price as double) as price", "cast(fee as double) as fee", "tx_signature", "asset_index", "leg_index", "is_liquidation")
+
+
 def claims(events):
     return events.selectExpr("event_id", "user_id as wallet", "event_type as fund_type", "ts as claimed_at")
 
@@ -99,11 +121,14 @@ def once(s, d):
 ONCE_SQL = """WITH a AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS claim_id, l_orderkey AS nonce, l_linenumber, TIMESTAMP '2024-01-01 00:00:00' + (l_suppkey % 6) * INTERVAL 1 DAY AS claimed_at FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT claim_id, nonce, claimed_at FROM (SELECT *, row_number() OVER (PARTITION BY nonce ORDER BY claimed_at, claim_id) AS n FROM a WHERE nonce % 6 <> 0 AND l_linenumber <> 1 AND claimed_at <= TIMESTAMP '2024-01-04 00:00:00') WHERE n = 1"""
 
+GROWING_SQL = EXTRACTION_SQL + """ AND NOT is_liquidation AND (CAST(substr(tx_signature, 2) AS BIGINT) // 3 % 2 = 1 OR slab_address < 'M10')"""
+
 QUERIES = {
     "stream_candles_1h": (candles, oracle(bars_sql("1 hour"))),
     "stream_dedupe": (dedupe, oracle("SELECT * FROM fx")),
     "stream_rolling_volume": (rolling, oracle(ROLLING_SQL)),
     "stream_ingest": (ingest, oracle(EXTRACTION_SQL)),
+    "stream_registry_refresh": (growing_registry, oracle(GROWING_SQL)),
     "claim_gate_24h": (gate, GATE_SQL),
     "stream_claim_gate": (stream_gate, GATE_SQL),
     "claim_once": (once, ONCE_SQL),
