@@ -45,10 +45,10 @@ def refreshed(spark, d):
 
 def slices(spark, d):
     trades = fx(spark, d)
-    return trades.where("event_id < 6000 and event_id % 10 < 7"), trades.where("event_id % 10 >= 4").union(trades.where("event_id % 10 >= 8"))
+    return trades.where("event_id % 10 < 7"), trades.where("event_id % 10 >= 4").union(trades.where("event_id % 10 >= 8"))
 
 
-NEW = "n AS (SELECT DISTINCT * FROM fx WHERE event_id % 10 >= 4 AND NOT (event_id < 6000 AND event_id % 10 < 7))"
+NEW = "n AS (SELECT DISTINCT * FROM fx WHERE event_id % 10 >= 4 AND NOT event_id % 10 < 7)"
 
 
 def merge_paths(spark, d):
