@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from fillforge.llm import sql
 from fillforge.llm.bpe import bpe
+from fillforge.llm.chat import chat_report
+from fillforge.llm.crossalign import cross_alignment
 from fillforge.llm.embeddings import embedding_duplicates
 from fillforge.llm.language import document_languages, fit_text, page_languages
 from fillforge.llm.licenses import license_scan
 from fillforge.llm.minhash import near_duplicates
 from fillforge.llm.mixing import mix_report
+from fillforge.llm.negatives import hard_negatives
 from fillforge.llm.passages import passage_report
 from fillforge.llm.quality import quality_report
 from fillforge.llm.tokenfiles import token_file_report
@@ -76,10 +79,28 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=2, percent=80)
 
 
+def op11_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(vectors, lambda i: i % 100 == 0)
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are made of control strings."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    columns = ["conv_id", "turn", "role", "text"]
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_report(spark.read.parquet(f"{sf_dir}/conversations.parquet").select(*columns).union(more))
+
+
+def op13_text_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_alignment(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_weak_labels, op2_bpe_tree, op3_multi_index, op4_license_index, op5_chained_passages, op6_language_fusion, op7_token_files, op8_mix_sources, op9_host_quality, op10_superminhash)
+    found = (op1_weak_labels, op2_bpe_tree, op3_multi_index, op4_license_index, op5_chained_passages, op6_language_fusion, op7_token_files, op8_mix_sources, op9_host_quality, op10_superminhash, op11_hilbert_negatives, op12_chat_format, op13_text_alignment)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mix_sources": sql.MIX, "op9_host_quality": sql.QUALITY}
+    return {"op8_mix_sources": sql.MIX, "op9_host_quality": sql.QUALITY, "op11_hilbert_negatives": sql.NEGATIVES, "op12_chat_format": sql.CHAT}

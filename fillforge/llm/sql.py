@@ -55,3 +55,43 @@ SELECT j.doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_
   NOT base_failed AND NOT (soft >= 2 OR (soft >= 1 AND bad)) AS kept
 FROM j JOIN bad ON j.source IS NOT DISTINCT FROM bad.source
 """
+
+CHAT = r"""
+WITH raw AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+), t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM raw
+), e AS (
+  SELECT *, replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), chr(10), '<|n|>') AS safe_role,
+    regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS safe FROM t
+), p AS (
+  SELECT *, lag(safe_role) OVER w IS DISTINCT FROM safe_role AS opens, lead(safe_role) OVER w IS DISTINCT FROM safe_role AS closes
+  FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, safe_role, text)
+), s AS (
+  SELECT *, CASE WHEN opens THEN '<|im_start|>' || safe_role || chr(10) ELSE '<|im_sep|>' END || safe || CASE WHEN closes THEN '<|im_end|>' || chr(10) ELSE '' END AS piece FROM p
+)
+SELECT conv_id, count(*) AS n_turns, count_if(opens)::BIGINT AS n_blocks,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, safe_role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, safe_role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(piece))::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 10
+"""
