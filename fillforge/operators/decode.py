@@ -121,17 +121,23 @@ def attach_mark_price(fills: DataFrame, prices: DataFrame, required: bool = Fals
     return both.withColumn("price", F.coalesce("price", F.lit(0)).cast("decimal(38,6)"))
 
 
-def extract_trades(txs: DataFrame, programs: list[str], registry: DataFrame, blocklist: DataFrame, layouts: DataFrame) -> DataFrame:
-    """Fills and markers of raw transactions, numbered, priced, of known markets that are not blocked.
+def flagged_trades(txs: DataFrame, programs: list[str], registry: DataFrame, blocklist: DataFrame, layouts: DataFrame) -> DataFrame:
+    """Fills and markers of raw transactions, numbered and priced, with known (in the registry) and blocked.
 
     A transaction that comes twice counts once. Fills are numbered from 0 and markers from MARKER_BASE over the whole
     transaction before the registry is asked, so every path gives a leg the same key.
     """
+    flag = lambda df, name: df.select("slab_address").distinct().withColumn(name, F.lit(True))
     good = filter_signature(filter_successful(txs)).dropDuplicates(["signature"])
     decoded = with_bytes(explode_instructions(good, programs))
     rows = numbered(drop_inner_echo(decode_legs(decoded)))
-    rows = rows.join(registry.select("slab_address").distinct(), "slab_address", "left_semi").join(blocklist.select("slab_address").distinct(), "slab_address", "left_anti")
-    priced = rows.join(transaction_prices(good, layouts), ["signature", "slab_address"], "left")
-    price = F.when(~F.col("is_liquidation"), F.coalesce("price", F.lit(0)).cast("decimal(38,6)"))
-    fee = F.when(~F.col("is_liquidation"), F.lit(0).cast("decimal(38,6)"))
-    return priced.select("slab_address", "trader", "side", "size", "size_text", price.alias("price"), fee.alias("fee"), F.col("signature").alias("tx_signature"), "asset_index", "leg_index", "is_liquidation")
+    rows = rows.join(flag(registry, "known"), "slab_address", "left").join(flag(blocklist, "blocked"), "slab_address", "left")
+    fill = ~F.col("is_liquidation")
+    priced = attach_mark_price(rows, transaction_prices(good, layouts))
+    flags = [F.coalesce(c, F.lit(False)).alias(c) for c in ("known", "blocked")]
+    return priced.select("slab_address", "trader", "side", "size", "size_text", F.when(fill, F.col("price")).alias("price"), F.when(fill, F.lit(0).cast("decimal(38,6)")).alias("fee"), F.col("signature").alias("tx_signature"), "asset_index", "leg_index", "is_liquidation", *flags)
+
+
+def extract_trades(txs: DataFrame, programs: list[str], registry: DataFrame, blocklist: DataFrame, layouts: DataFrame) -> DataFrame:
+    """The flagged_trades of known markets that are not blocked."""
+    return flagged_trades(txs, programs, registry, blocklist, layouts).where("known and not blocked").drop("known", "blocked")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fillforge.functions.binary import ADDRESS
 from fillforge.functions.clean import pick_asset_logo, placeholder_name, placeholder_symbol, sanitize_text, sanitize_url
+from fillforge.operators.numbering import numbered
 
 SYMBOL, NAME = 32, 128
 
@@ -63,9 +63,9 @@ def resolve_identity(markets: DataFrame, tokens: DataFrame) -> DataFrame:
     return both.select("slab_address", symbol.alias("symbol"), name.alias("name"), logo.alias("logo_url"))
 
 
-def batch_assign(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """df with batch: groups of n rows in a given order. For lists of bounded length; batch_by_hash needs no order."""
-    return df.withColumn("batch", F.floor((F.row_number().over(W.orderBy(*order)) - 1) / n).cast("long"))
+def batch_assign(df: DataFrame, n: int, order: list[str], path: str) -> DataFrame:
+    """df with batch: groups of n rows in a given order. path takes the sorted rows (see numbered())."""
+    return numbered(df, order, path, "batch").withColumn("batch", F.floor(F.col("batch") / n).cast("long"))
 
 
 def batch_by_hash(df: DataFrame, buckets: int, key: Column) -> DataFrame:

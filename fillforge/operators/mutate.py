@@ -37,6 +37,25 @@ def upsert_ignore(existing: DataFrame, batch: DataFrame, keys: list[str] = TRADE
     return keyed.join(existing.select(*keys), keys, "left_anti").select(*batch.columns).union(batch.where(~whole))
 
 
+#: What can become of a row that is to be inserted.
+OUTCOMES = ("indexed", "skipped", "blocked", "failed")
+
+
+def with_outcomes(rows: DataFrame, stored: DataFrame, keys: list[str] = TRADE_KEY) -> DataFrame:
+    """rows (with the flags known and blocked) with `outcome`, as upsert_ignore treats them: blocked, failed (unknown
+    market), skipped (key stored already, or not the first row of its key) or indexed. A key with a NULL never conflicts,
+    so each of its rows is indexed; such rows and those that are not inserted are spread, not gathered by key."""
+    whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    competes = whole & F.coalesce("known", F.lit(False)) & ~F.coalesce("blocked", F.lit(False))
+    rest = [c for c in rows.columns if c not in keys]
+    marked = rows.join(stored.select(*keys, F.lit(True).alias("_seen")).distinct(), keys, "left")
+    marked = marked.withColumns({"_competes": competes, "_spread": F.when(~competes, F.xxhash64(*rows.columns))})
+    first = F.row_number().over(W.partitionBy(*keys, "_spread").orderBy(*rest)) == 1
+    outcome = F.when(F.col("blocked"), "blocked").when(~F.coalesce("known", F.lit(False)), "failed")
+    outcome = outcome.when(F.col("_competes") & (F.col("_seen").isNotNull() | ~F.col("_first")), "skipped").otherwise("indexed")
+    return marked.withColumn("_first", first).withColumn("outcome", outcome).select(*rows.columns, "outcome")
+
+
 def upsert_partial(target: DataFrame, source: DataFrame, key: str, columns: list[str], missing: dict[str, object] | None = None) -> DataFrame:
     """target with `columns` taken from source where source has the key; other columns and rows stay, new keys come in.
 

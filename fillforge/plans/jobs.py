@@ -49,13 +49,7 @@ def repair_from_transactions_job(trades: DataFrame, txs: DataFrame, layouts: Dat
 
 
 def ingest_outcomes(rows: DataFrame, stored: DataFrame, markets: DataFrame, blocklist: DataFrame, keys: list[str] = mutate.TRADE_KEY) -> DataFrame:
-    """rows with `outcome`: blocked, failed (unknown market or no key), skipped (key stored already) or indexed, for the
-    counters of a run. One key is expected once in rows."""
-    slabs = lambda df, flag: df.select("slab_address", F.lit(True).alias(flag)).distinct()
-    seen = stored.select(*keys, F.lit(True).alias("_seen")).distinct()
-    marked = rows.join(slabs(blocklist, "_blocked"), "slab_address", "left").join(slabs(markets, "_known"), "slab_address", "left").join(seen, keys, "left")
-    keyless = F.lit(False)
-    for k in keys:
-        keyless = keyless | F.col(k).isNull()
-    outcome = F.when(F.col("_blocked"), "blocked").when(F.col("_known").isNull() | keyless, "failed").when(F.col("_seen"), "skipped").otherwise("indexed")
-    return marked.withColumn("outcome", outcome).select(*rows.columns, "outcome")
+    """rows with `outcome` (see with_outcomes), for the counters of a run."""
+    flag = lambda df, name: df.select("slab_address").distinct().withColumn(name, F.lit(True))
+    flagged = rows.join(flag(markets, "known"), "slab_address", "left").join(flag(blocklist, "blocked"), "slab_address", "left")
+    return mutate.with_outcomes(flagged, stored, keys).select(*rows.columns, "outcome")

@@ -10,6 +10,7 @@ from fillforge.operators import decode, enrich, registry, repair
 from fillforge.plans import jobs
 from fillforge.plans.fixtures import AS_OF, fx, mk, oracle, table
 from fillforge.plans.rawdata import PROGRAM, account_data, address, address_sql, instruction, market_accounts, raw_transactions, token_pairs
+from fillforge.plans.shared import shared_path
 from fillforge.sources import deliveries, scans
 
 BODIES = """SELECT event_id, CASE event_id % 8
@@ -361,7 +362,7 @@ QUERIES = {
     "fan_out_identity": (fan_out, oracle(PAIRS_SQL + ", m AS (SELECT *, 'Brand#' || (1 + CAST(substr(slab_address, 2) AS INT) % 5) || (1 + CAST(substr(slab_address, 2) AS INT) % 3) AS ca FROM mk) SELECT slab_address, ca AS symbol, b.name, b.logo_url FROM m JOIN b USING (ca)")),
     "resolve_identity": (identity, oracle(IDENTITY_SQL)),
     "metadata_candidates": (lambda s, d: scans.scan_metadata_candidates(mk(s, d), "devnet"), oracle("SELECT slab_address, mainnet_ca, symbol, name FROM mk WHERE network = 'devnet' AND metadata_source = 'auto' AND logo_url IS NULL AND mainnet_ca IS NOT NULL ORDER BY slab_address LIMIT 60")),
-    "batch_assign": (lambda s, d: enrich.batch_assign(mk(s, d).select("slab_address"), 30, ["slab_address"]), oracle("SELECT slab_address, CAST((row_number() OVER (ORDER BY slab_address) - 1) // 30 AS BIGINT) AS batch FROM mk")),
+    "batch_assign": (lambda s, d: enrich.batch_assign(mk(s, d).select("slab_address"), 30, ["slab_address"], shared_path(s, "batches")), oracle("SELECT slab_address, CAST((row_number() OVER (ORDER BY slab_address) - 1) // 30 AS BIGINT) AS batch FROM mk")),
     "distinct_cas": (lambda s, d: enrich.distinct_cas(mk(s, d), valid="^CA[0-9]$"), oracle("SELECT DISTINCT mainnet_ca AS ca FROM mk WHERE length(mainnet_ca) = 3")),
     "blocklist": (blocklist, oracle(BLOCK_SQL)),
     "missing_markets": (missing, oracle(f"k AS ({BLOCK_SQL}), u AS (SELECT slab_address FROM fx UNION SELECT slab_address FROM mk) SELECT slab_address FROM u WHERE slab_address NOT IN (SELECT slab_address FROM mk WHERE network = 'devnet') AND slab_address NOT IN (SELECT slab_address FROM k)")),

@@ -10,6 +10,9 @@ from fillforge.plans.rawdata import PROGRAM, address, raw_transactions
 from fillforge.plans.rollup_queries import bars_sql
 from fillforge.plans.shared import shared_path
 from fillforge.streaming import gates, streams
+from fillforge.streaming.ingest import Ingest
+from fillforge.streaming.keyed import KeyedTarget
+from fillforge.streaming.late import LiveCandles
 
 
 def events_stream(s, d):
@@ -63,8 +66,12 @@ def ingest(s, d):
     known = trades.select(address(F.col("slab_address")).alias("slab_address")).where("slab_address not like 'Mz3%'").distinct()
     blocked = known.where("slab_address like 'M17%'")
     raw = s.readStream.schema(txs.schema).option("maxFilesPerTrigger", 1).parquet(landed)
-    streams.ingest_stream(raw, [PROGRAM], lambda: known, lambda: blocked, no_layouts(s), target, shared_path(s, "checkpoint"))
-    out = s.read.parquet(target).drop("batch")
+    store = KeyedTarget(s, target, buckets=8)
+    Ingest(store, [PROGRAM], lambda: known, lambda: blocked, no_layouts(s)).run(raw, shared_path(s, "checkpoint"))
+    return stored_columns(store.read())
+
+
+def stored_columns(out):
     return out.selectExpr("slab_address", "trader", "side", "cast(size as bigint) as size", "size_text", "cast(price as double) as price", "cast(fee as double) as fee", "tx_signature", "asset_index", "leg_index", "is_liquidation")
 
 
@@ -86,8 +93,20 @@ def growing_registry(s, d):
 
     raw = s.readStream.schema(txs.schema).option("maxFilesPerTrigger", 1).parquet(landed)
     blocked = slabs.where("slab_address like 'M17%'")
-    streams.ingest_stream(raw, [PROGRAM], lambda: s.read.parquet(known), lambda: blocked, no_layouts(s), target, shared_path(s, "checkpoint"), sink)
-    return s.read.parquet(sunk).selectExpr("slab_address", "trader", "side", "cast(size as bigint) as size", "size_text", "cast(price as double) as price", "cast(fee as double) as fee", "tx_signature", "asset_index", "leg_index", "is_liquidation")
+    Ingest(KeyedTarget(s, target, buckets=8), [PROGRAM], lambda: s.read.parquet(known), lambda: blocked, no_layouts(s), sink).run(raw, shared_path(s, "checkpoint"))
+    return stored_columns(s.read.parquet(sunk))
+
+
+def late_rows(s, d):
+    """Three files in turn: the days up to the 19th without every tenth row, the days after it, and the rows left out, which
+    are all behind the watermark by then. The bars equal those of the whole table."""
+    trades, landed = fx(s, d).withColumn("created_at", F.col("created_at").cast("timestamp")), shared_path(s, "landed")
+    early = F.col("created_at") < F.lit("2024-01-20").cast("timestamp")
+    for part in (early & (F.col("event_id") % 10 != 0), ~early, early & (F.col("event_id") % 10 == 0)):
+        trades.where(part).coalesce(1).write.mode("append").parquet(landed)
+    live = LiveCandles(s, shared_path(s, "live"), "1 hour", "2 hours", lambda n: F.timestamp_seconds(F.lit(1_750_000_000 + n)))
+    live.run(s.readStream.schema(trades.schema).option("maxFilesPerTrigger", 1).parquet(landed), shared_path(s, "checkpoint"))
+    return unzoned(live.bars(), "bucket")
 
 
 def claims(events):
@@ -95,18 +114,35 @@ def claims(events):
 
 
 def gate(s, d):
-    return gates.anchored_gate(claims(table(s, d, "events")), ["wallet", "fund_type"], "claimed_at").where("accepted").select("wallet", "fund_type", "claimed_at")
+    gated = gates.anchored_gate(claims(table(s, d, "events")), ["wallet", "fund_type"], "claimed_at", shared_path(s, "gate"))
+    return gated.where("accepted").select("wallet", "fund_type", "claimed_at")
 
 
 def stream_gate(s, d):
-    gated = gates.stream_anchored_gate(claims(events_stream(s, d)), ["wallet", "fund_type"], "claimed_at")
-    return drained(s, "gated", gated, "append").where("accepted").select("wallet", "fund_type", "claimed_at")
+    """The stream runs to the end of the table, and once more after a last claim that moves the watermark past all others."""
+    rocks, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    closing, out, checkpoint = (shared_path(s, x) for x in ("closing", "gated", "checkpoint"))
+    timed = lambda df: df.withColumn("claimed_at", F.col("claimed_at").cast("timestamp"))
+    schema = timed(claims(table(s, d, "events"))).schema
+    s.createDataFrame([], schema).write.parquet(closing)
+    both = timed(claims(events_stream(s, d))).union(s.readStream.schema(schema).parquet(closing))
+    before = s.conf.get(rocks)
+    s.conf.set(rocks, store)
+    try:
+        for last in (False, True):
+            if last:
+                s.sql("select cast(null as bigint) event_id, cast(null as bigint) wallet, 'closing' fund_type, timestamp '2100-01-01 00:00:00' claimed_at").write.mode("append").parquet(closing)
+            gated = gates.stream_anchored_gate(both, ["wallet", "fund_type"], "claimed_at")
+            streams.run_to_end(gated.writeStream.outputMode("append").foreachBatch(streams.into_batches(out)), checkpoint)
+    finally:
+        s.conf.set(rocks, before)
+    return s.read.parquet(out).where("accepted and fund_type <> 'closing'").select("wallet", "fund_type", "claimed_at").transform(unzoned, "claimed_at")
 
 
 GATE_SQL = """WITH RECURSIVE c AS (SELECT user_id AS wallet, event_type AS fund_type, ts AS claimed_at FROM events),
 g AS (SELECT wallet, fund_type, min(claimed_at) AS claimed_at FROM c GROUP BY ALL
  UNION ALL SELECT wallet, fund_type, claimed_at FROM (SELECT g.wallet, g.fund_type, c.claimed_at, row_number() OVER (PARTITION BY g.wallet, g.fund_type ORDER BY c.claimed_at) AS n
-  FROM g JOIN c ON c.wallet = g.wallet AND c.fund_type = g.fund_type AND c.claimed_at >= g.claimed_at + INTERVAL 24 HOURS) WHERE n = 1)
+  FROM g JOIN c ON c.wallet IS NOT DISTINCT FROM g.wallet AND c.fund_type IS NOT DISTINCT FROM g.fund_type AND c.claimed_at >= g.claimed_at + INTERVAL 24 HOURS) WHERE n = 1)
 SELECT * FROM g"""
 
 
@@ -125,6 +161,7 @@ GROWING_SQL = EXTRACTION_SQL + """ AND NOT is_liquidation AND (CAST(substr(tx_si
 
 QUERIES = {
     "stream_candles_1h": (candles, oracle(bars_sql("1 hour"))),
+    "stream_late_candles": (late_rows, oracle(bars_sql("1 hour"))),
     "stream_dedupe": (dedupe, oracle("SELECT * FROM fx")),
     "stream_rolling_volume": (rolling, oracle(ROLLING_SQL)),
     "stream_ingest": (ingest, oracle(EXTRACTION_SQL)),

@@ -2,63 +2,138 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from fillforge.operators.numbering import numbered
 
 
 class Gate:
-    """Lets max_n claims through per window; the first one after a window opens the next."""
+    """Lets max_n claims through per window; the first one after a window opens the next. Times are microseconds."""
 
-    def __init__(self, hours: float, max_n: int, start: float | None = None, used: int = 0):
-        self.length, self.max_n, self.start, self.used = hours * 3600, max_n, start, used
+    def __init__(self, hours: float, max_n: int, start: int | None = None, used: int = 0):
+        self.length, self.max_n, self.start, self.used = round(hours * 3_600_000_000), max_n, start, used
 
-    def admits(self, at: float) -> bool:
+    def admits(self, at: int) -> bool:
         if self.start is None or at >= self.start + self.length:
             self.start, self.used = at, 0
         self.used += 1
         return self.used <= self.max_n
 
 
-def seconds(times: pd.Series) -> list[float]:
-    return (times.astype("int64") / {"ns": 1e9, "us": 1e6}[times.dt.unit]).tolist()
-
-
-def anchored_gate(claims: DataFrame, keys: list[str], time: str, hours: float = 24, max_n: int = 1) -> DataFrame:
+def anchored_gate(claims: DataFrame, keys: list[str], time: str, path: str, hours: float = 24, max_n: int = 1) -> DataFrame:
     """claims with `accepted`: at most max_n per key and window, where a window starts with the first claim after the
-    last one ended. Claims of a key pass in order through one task, which holds one gate and never the key's rows."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gate, key = None, None
-        for frame in frames:
-            out = []
-            for k, at in zip(frame[keys].itertuples(index=False, name=None), seconds(frame[time]), strict=True):
-                if gate is None or k != key:
-                    gate, key = Gate(hours, max_n), k
-                out.append(gate.admits(at))
-            yield frame.assign(accepted=out)
-
-    n = int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = claims.repartition(n, *keys).sortWithinPartitions(*keys, time)
-    return dealt.mapInPandas(run, claims.withColumn("accepted", F.lit(True)).schema)
-
-
-def stream_anchored_gate(claims: DataFrame, keys: list[str], time: str, hours: float = 24, max_n: int = 1) -> DataFrame:
-    """The gate over a stream; its state per key is the window's start and the claims it let in."""
-
-    def step(key, frames, state):
-        gate = Gate(hours, max_n, *(state.get if state.exists else (None, 0)))
-        whole = pd.concat(list(frames)).sort_values(time)
-        whole["accepted"] = [gate.admits(at) for at in seconds(whole[time])]
-        state.update((gate.start, gate.used))
-        yield whole
-
-    schema = claims.withColumn("accepted", F.lit(True)).schema
-    return claims.groupBy(*keys).applyInPandasWithState(step, schema, "start double, used long", "append", GroupStateTimeout.NoTimeout)
+    last one ended. Nulls in a key column count as one value. A claim without time is never accepted. path is a new folder
+    for the steps' tables.
+
+    A window's end, as the number of the first claim at or after it, is found for all claims by one more sort: each claim is
+    joined by a probe at its time plus the window, and what stands before a probe, less the probes, is the number. Starts
+    are what can be reached over these pointers from the first claims of the keys; pointers that skip 1, 2, 4, ... windows
+    reach them in as many rounds as the longest chain has binary digits. All steps deal rows by ranges of key and time or by
+    claim, so a key's claims never meet in one task.
+    """
+    spark = claims.sparkSession
+    step = 0
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        nonlocal step
+        step += 1
+        df.write.parquet(f"{path}/{step:03d}-{name}")
+        return spark.read.parquet(f"{path}/{step:03d}-{name}")
+
+    whole = F.struct(*claims.columns).alias("_row")
+    dated = claims.where(F.col(time).isNotNull()).select(whole, *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(time).alias("_t"))
+    by = [c for c in dated.columns if c.startswith("_k")]
+    rows = numbered(dated, [*by, "_t"], f"{path}/claims", "_g")
+    probes = rows.select(*by, (F.col("_t") + F.lit(dt.timedelta(hours=hours))).alias("_t"), F.lit(0).alias("_kind"), "_g")
+    both = probes.union(rows.select(*by, "_t", F.lit(1).alias("_kind"), "_g"))
+    placed = numbered(both, [*by, "_t", "_kind", "_g"], f"{path}/ends", "_u").where("_kind = 0")
+    ends = kept(placed.select(F.col("_g").alias("g"), (F.col("_u") - F.col("_g")).alias("end")), "ends")
+    total = ends.count()
+    reached = kept(rows.groupBy(*by).agg(F.min("_g").alias("g")).select("g"), "reached")
+    nodes = reached.union(ends.select("end")).distinct()
+    skips = kept(ends.join(nodes, "g", "left_semi").where(F.col("end") < total), "skips")
+    n = reached.count()
+    while True:
+        reached = kept(reached.union(reached.join(skips, "g").select("end")).distinct(), "reached")
+        if (more := reached.count()) == n:
+            break
+        n = more
+        further = skips.select(F.col("g").alias("end"), F.col("end").alias("later"))
+        skips = kept(skips.join(further, "end").select("g", F.col("later").alias("end")), "skips")
+    let_in = reached.join(ends, "g").select(F.explode(F.sequence("g", F.least(F.col("g") + (max_n - 1), F.col("end") - 1))).alias("_g"), F.lit(True).alias("_in"))
+    judged = rows.join(let_in, "_g", "left").select("_row.*", F.coalesce("_in", F.lit(False)).alias("accepted"))
+    return judged.union(claims.where(F.col(time).isNull()).withColumn("accepted", F.lit(False)))
+
+
+class GateProcessor(StatefulProcessor):
+    """The gate of one key. Claims wait in a map by time until the watermark has passed them; timers, which fire in order,
+    judge them one time after another, however they came in. The gate itself, a window's start and the claims it let in,
+    goes with a timer at the window's end, so a key without claims leaves nothing behind."""
+
+    def __init__(self, schema: T.StructType, hours: float, max_n: int):
+        self.schema, self.hours, self.max_n = schema, hours, max_n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.gate = handle.getValueState("gate", "start long, used long")
+        self.counts = handle.getMapState("counts", "ms long", "n long")
+        self.waiting = handle.getMapState("waiting", "ms long, no long", self.schema)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        new: dict[int, int] = {}
+        for row in rows:
+            ms = -(-row["_us"] // 1000)  # timers are as fine as milliseconds
+            n = new[ms] if ms in new else self.stored(ms)
+            self.waiting.updateValue((ms, n), tuple(row))
+            new[ms] = n + 1
+        for ms, n in new.items():
+            self.counts.updateValue((ms,), (n,))
+            self.handle.registerTimer(ms)
+        return iter(())
+
+    def stored(self, ms: int) -> int:
+        return self.counts.getValue((ms,))[0] if self.counts.containsKey((ms,)) else 0
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        ms = expiredTimerInfo.getExpiryTimeInMs()
+        gate = Gate(self.hours, self.max_n, *(self.gate.get() if self.gate.exists() else (None, 0)))
+        due = []
+        for no in range(self.stored(ms)):
+            due.append(self.waiting.getValue((ms, no)))
+            self.waiting.removeKey((ms, no))
+        at = self.schema.names.index("_us")
+        for row in sorted(due, key=lambda r: r[at]):
+            yield Row(**dict(zip(self.schema.names, row, strict=True)), accepted=gate.admits(row[at]))
+        if due:
+            self.counts.removeKey((ms,))
+        if gate.start is not None:
+            closing = -(-(gate.start + gate.length) // 1000)
+            if closing <= ms:
+                self.gate.clear()
+            elif due:
+                self.gate.update((gate.start, gate.used))
+                self.handle.registerTimer(closing)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_anchored_gate(claims: DataFrame, keys: list[str], time: str, late: str = "1 hour", hours: float = 24, max_n: int = 1) -> DataFrame:
+    """The gate over a stream, in append mode: a claim comes out, with `accepted`, once the watermark has passed it, and
+    claims may come in any order within `late`; what comes later than that is left out. time must be a TIMESTAMP. Nulls in
+    a key column count as one value; claims without time come out at once, not accepted. The state store must be RocksDB.
+    """
+    dated = claims.where(F.col(time).isNotNull()).withWatermark(time, late).withColumn("_us", F.unix_micros(time))
+    out = T.StructType([*dated.schema.fields, T.StructField("accepted", T.BooleanType())])
+    judged = dated.groupBy(*keys).transformWithState(GateProcessor(dated.schema, hours, max_n), out, "append", "eventTime").drop("_us")
+    return judged.union(claims.where(F.col(time).isNull()).withColumn("accepted", F.lit(False)))
 
 
 def claim_once(challenges: DataFrame, claims: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Streaming ingest, candles, rolling volume and deduplication.
+"""Streaming candles, rolling volume and deduplication.
 
 Sinks write each micro-batch into a folder of its own number: a replayed batch replaces its own output, nothing else.
 """
@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fillforge.operators.decode import extract_trades
-from fillforge.operators.mutate import TRADE_KEY, upsert_ignore
+from fillforge.operators.mutate import TRADE_KEY
 from fillforge.operators.rollup import bars, total
 
 
@@ -56,34 +55,3 @@ def stream_dedupe(paths: DataFrame, late: str, keys: list[str] = TRADE_KEY) -> D
     """One row per key of a stream that unites redundant paths, as far as they lie within `late` of one another; what
     comes later meets upsert_ignore in the sink."""
     return paths.withWatermark("created_at", late).dropDuplicatesWithinWatermark(keys)
-
-
-def emit_inserted(inserted: DataFrame, sink: Callable[[DataFrame, int], None], number: int) -> None:
-    """Hands over the fills that were really written; markers are no trade events."""
-    sink(inserted.where("not is_liquidation"), number)
-
-
-def ingest_stream(
-    raw: DataFrame, programs: list[str], registry: Callable[[], DataFrame], blocklist: Callable[[], DataFrame], layouts: DataFrame, target: str, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None
-) -> StreamingQuery:
-    """Stream of raw transactions into the trades table at target (folders batch=n), each key once.
-
-    The registry and the blocklist are read again for every batch, so new markets are known at once. A batch that fails
-    is run again and writes the same folder: only keys of earlier batches count as stored. sink gets what was inserted.
-    Of what is stored, only the keys are read, from a listing of the table's folder as a whole.
-    """
-    spark = raw.sparkSession
-
-    def store(batch: DataFrame, number: int) -> None:
-        rows = extract_trades(batch, programs, registry(), blocklist(), layouts)
-        stored = spark.read.parquet(target).where(F.col("batch") < number) if exists(spark, target) else rows.limit(0)
-        upsert_ignore(stored, rows).write.mode("overwrite").parquet(f"{target}/batch={number}")
-        if sink:
-            emit_inserted(spark.read.parquet(f"{target}/batch={number}"), sink, number)
-
-    return run_to_end(raw.writeStream.foreachBatch(store), checkpoint)
-
-
-def exists(spark, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

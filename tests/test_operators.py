@@ -15,7 +15,6 @@ from fillforge.plans.fixtures import fx
 from fillforge.plans.market_queries import no_layouts
 from fillforge.plans.rawdata import PROGRAM, address, raw_transactions
 from fillforge.sources import deliveries, scans
-from fillforge.streaming import gates
 
 
 def le(n, size):
@@ -214,14 +213,6 @@ def test_exact_volume_beyond_decimal(spark):
     assert one(rollup.exact_volume(df))["volume"] == str(2 * big)
 
 
-def test_gate(spark):
-    t = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
-    df = spark.createDataFrame([("a", t(h)) for h in (0, 1, 23, 24, 25, 47, 48)] + [("b", t(1))], "k string, at timestamp")
-    got = gates.anchored_gate(df, ["k"], "at").where("accepted")
-    assert sorted((r["k"], r["at"].day) for r in got.collect()) == [("a", 1), ("a", 2), ("a", 3), ("b", 1)]
-    assert gates.anchored_gate(df, ["k"], "at", max_n=2).where("accepted").count() == 6
-
-
 def test_filters_reach_the_scan(spark, sf):
     plan = rollup.volume_24h_by_slab(fx(spark, sf), "devnet", F.expr("TIMESTAMP '2024-01-31 00:00:00'"))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "props:" not in plan
