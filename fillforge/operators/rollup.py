@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fillforge.functions import wide
 from fillforge.functions.clean import clean_decimals
 from fillforge.operators.mutate import upsert_partial
 
@@ -123,3 +124,49 @@ def trader_history(trades: DataFrame, by: str, n: int) -> DataFrame:
 
 def public_trades(trades: DataFrame) -> DataFrame:
     return trades.select("trader", "size", "created_at")
+
+
+#: Limbs of sizes (up to 45 digits, all 128-bit ones) and of prices in millionths.
+SIZE_LIMBS = PRICE_LIMBS = 5
+
+
+def wide_size(signed: bool = False) -> list[Column]:
+    """size_text as limbs, as an absolute value unless signed."""
+    return wide.limbs(F.col("size_text") if signed else F.ltrim("size_text", F.lit("-")), SIZE_LIMBS)
+
+
+def by_number(number: str) -> list[Column]:
+    """Descending order of whole numbers of zero or more in text."""
+    return [F.length(number).desc(), F.desc(number)]
+
+
+def wide_volume(trades: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact sum of size_text per keys, as text, and the count: beyond DECIMAL(38,0), with partial aggregation."""
+    sums = trades.where("not is_liquidation and size_text is not null").groupBy(*keys).agg(wide.total(wide_size()).alias("v"), F.count("*").alias("trades"))
+    return sums.select(*keys, wide.text(F.col("v")).alias("volume"), "trades")
+
+
+def wide_candles(trades: DataFrame, interval: str) -> DataFrame:
+    """candles() whose volume is the exact sum of size_text, as text."""
+    bucketed = trades.where("not is_liquidation and size_text is not null").withColumn("bucket", F.window("created_at", interval)["start"])
+    price = F.when(F.col("price") > 0, F.col("price"))
+    at = F.when(price.isNotNull(), trade_order())
+    aggs = [F.min_by(price, at).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max_by(price, at).alias("close")]
+    out = bucketed.groupBy("slab_address", "bucket").agg(*aggs, wide.total(wide_size(signed=True)).alias("v"), F.count("*").alias("trades"))
+    return out.withColumn("v", wide.text(F.col("v"))).withColumnRenamed("v", "volume")
+
+
+def wide_leaderboard(trades: DataFrame, top: int = 100) -> DataFrame:
+    """leaderboard() by the exact sums of size_text, which are text. Only the top rows meet in one window."""
+    best = wide_volume(trades, ["trader"]).orderBy(*by_number("volume"), "trader").limit(top)
+    return best.withColumn("rank", F.rank().over(W.orderBy(*by_number("volume"))).cast("long"))
+
+
+def wide_volume_usd(trades: DataFrame, markets: DataFrame, network: str, as_of: Column) -> DataFrame:
+    """volume_24h_usd() as exact text: the sum of size_text times the price, over ten to the market's decimals. Prices count
+    in millionths; rows without a price are left out."""
+    recent = trades.where((F.col("network") == network) & F.expr("not is_liquidation and size_text is not null and price is not null") & (F.col("created_at") >= as_of - F.expr("INTERVAL 24 HOURS")))
+    millionths = wide.limbs(F.replace(F.col("price").cast("decimal(38,6)").cast("string"), F.lit("."), F.lit("")), PRICE_LIMBS)
+    sums = recent.groupBy("slab_address").agg(wide.total(wide.product(wide_size(), millionths)).alias("v"))
+    both = sums.join(markets.select("slab_address", clean_decimals(F.col("decimals")).alias("d")), "slab_address")
+    return both.select("slab_address", wide.pointed(wide.text(F.col("v")), F.col("d") + 6).alias("volume_24h_usd"))

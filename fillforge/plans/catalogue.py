@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fillforge.plans import market_queries, rollup_queries, stream_queries
+from fillforge.plans import market_queries, rollup_queries, stream_queries, table_queries
 
-ALL = {**rollup_queries.QUERIES, **market_queries.QUERIES, **stream_queries.QUERIES}
+ALL = {**rollup_queries.QUERIES, **market_queries.QUERIES, **stream_queries.QUERIES, **table_queries.QUERIES}
 
 
 def queries() -> dict:

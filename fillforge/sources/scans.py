@@ -85,3 +85,14 @@ def read_assets(landed: DataFrame, column: str = "body") -> DataFrame:
 
 def exists(df: DataFrame) -> bool:
     return not df.limit(1).isEmpty()
+
+
+def footer_counts(spark: SparkSession, path: str, by: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Count of the rows of a Parquet table, and least and largest values of columns, per folder column if wanted, from
+    the files' footers: no row is read. The DataFrame belongs to a session of its own with aggregate push-down, so the
+    caller's settings stay. Folder columns must come from the path. TIMESTAMP and text have no exact footers: not here."""
+    probe = spark.newSession()
+    probe.conf.set("spark.sql.sources.useV1SourceList", "")
+    probe.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    ends = [f(c).alias(f"{name}_{c}") for c in columns or [] for f, name in ((F.min, "min"), (F.max, "max"))]
+    return probe.read.parquet(path).groupBy(*(by or [])).agg(F.count("*").alias("n"), *ends)
