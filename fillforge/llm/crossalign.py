@@ -18,8 +18,8 @@ from fillforge.llm.tokenfiles import BYTE_CHARS, ByteCoder
 from fillforge.llm.words import texts_of
 
 BATCH_BYTES = 4 << 20  # of text whose chunks share one table of pairs
-BATCHES = 8  # such tables that a task measures
-MEMO = 200_000  # aligned chunks that a Python worker remembers
+BATCHES = 2  # such tables that a task measures
+MEMO = 80_000  # aligned chunks that a Python worker remembers, twice
 
 #: Texts that are not cut: with other blanks than spaces and line ends, or with what the second tokenizer takes for a space.
 WHOLE = re.compile("[^\\S \n]|[\x1c-\x1f▁]")
@@ -67,6 +67,7 @@ class Aligner:
         ordinary = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
         self.cuts = not any(re.search("[^▁]▁|.\n|\n.", p, re.DOTALL) for p in ordinary)
         self.memo: dict = {}
+        self.old: dict = {}  # the filling of memo before this one
 
     def keys(self, text: str) -> list:
         if not self.cuts or WHOLE.search(text):
@@ -83,20 +84,21 @@ class Aligner:
         """The alignments of distinct keys: n_a, n_b, the groups as a string, pairs that end together (a << 32 | b), and
         whether the tokens of both hold the chunk's bytes."""
         if len(self.memo) > MEMO:
-            self.memo = {}
+            self.memo, self.old = {}, self.memo
         found = list(map(self.memo.get, keys))
-        missing = [k for k, f in zip(keys, found, strict=True) if f is None]
-        if not missing:
-            return found
+        again = {k: self.old[k] for k, f in zip(keys, found, strict=True) if f is None and k in self.old}
+        self.memo |= again
+        missing = [k for k, f in zip(keys, found, strict=True) if f is None and k not in again]
         chunks = list(map(self.chunk, missing))
         ids_a = self.a.recall([b"\1" + c.encode() if isinstance(k, tuple) else c.encode() for k, c in zip(missing, chunks, strict=True)])
         ids_b = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        learnt = {}
+        learnt = again
         for k, c, a, b in zip(missing, chunks, ids_a, ids_b, strict=True):
             if c[0] != " ":  # the space that the model adds is not this chunk's
                 b = b[1:] if b[0] == self.space else [-1]
             learnt[k] = self.aligned(c.encode(), array(self.a.code, a).tolist(), b)
-        self.memo.update((k, v) for k, v in learnt.items() if not isinstance(k, tuple) and len(k) < 256)
+            if not isinstance(k, tuple) and len(k) < 256:
+                self.memo[k] = learnt[k]
         return [learnt[k] if f is None else f for k, f in zip(keys, found, strict=True)]
 
     def aligned(self, raw: bytes, a: list[int], b: list[int]) -> tuple:
