@@ -13,10 +13,11 @@ from fillforge.llm.common import ship, staged, unstage, wrapped
 from fillforge.llm.minhash import mixed
 from fillforge.llm.words import GOLD, binary_parts, texts_of, word_hashes
 
-K = 5  # words of a seed
-WINDOW = 16  # the least seed of each run of so many is kept: equal runs of K + WINDOW - 1 words share one
+K = 4  # words of a seed
+WINDOW = 14  # the least seed of each run of so many is kept: equal runs of K + WINDOW - 1 words share one
 GAP = 0.01  # cost of a word of distance between chained seeds, each of which scores 1
-MARGIN = 2 * (K + WINDOW)  # words that are aligned beyond a chain's ends
+MARGIN = 64  # words that are aligned beyond a chain's ends
+NEAR = 12  # of so many words after a mismatch half must come again nearby on the other side, or alignment ends there
 ROW = 1 << 32  # positions of the rows of one id lie so far apart
 
 
@@ -45,8 +46,9 @@ def seed_marks(s: np.ndarray, doc: np.ndarray, at: np.ndarray, ends: np.ndarray)
     key = np.where(at < ends, key, ~np.uint64(0))
     least, width = np.concatenate([key, np.full(WINDOW, ~np.uint64(0))]), 1
     while width < WINDOW:
-        least[:-width] = np.minimum(least[:-width], least[width:])
-        width *= 2
+        step = min(width, WINDOW - width)
+        least[:-step] = np.minimum(least[:-step], least[step:])
+        width += step
     inside = np.flatnonzero(at + WINDOW <= ends)
     found = inside + (((least[inside] & low) - (at[inside].astype(np.uint64) & low)) & low).astype(np.int64)
     marks = np.zeros(len(s), bool)
@@ -345,40 +347,26 @@ def matched(x: np.ndarray, y: np.ndarray) -> int:
     return head + tail + int(last[-1])
 
 
-def straight(x: np.ndarray, y: np.ndarray, cost: float) -> tuple[int, int]:
-    """How far two word runs go on alike word by word, and with how many matches: the best sum of +1 and -cost before a
-    drop of 5."""
+def reach(x: np.ndarray, y: np.ndarray, costs: tuple[float, ...]) -> list[tuple[int, int, int]]:
+    """How far two word runs go on alike on either side, with how many matches, for each cost: the ends with the most
+    matches less the cost times the other words of the longer side. All ends come from one table of common subsequences."""
     n = min(len(x), len(y))
-    if not n:
-        return 0, 0
-    same = x[:n] == y[:n]
-    total = np.cumsum(np.where(same, 1, -cost))
-    drop = np.flatnonzero(np.maximum.accumulate(np.maximum(total, 0)) - total >= 5)
-    end = int(drop[0]) if len(drop) else n
-    if not end or total[:end].max() <= 0:
-        return 0, 0
-    best = int(total[:end].argmax()) + 1
-    return best, int(same[:best].sum())
-
-
-#: Words left out on either side where two runs fall out of step.
-STEPS = [(i, j) for n in range(1, 5) for i in range(n + 1) for j in [n - i] if i != j]
-
-
-def reach(x: np.ndarray, y: np.ndarray, cost: float = 1) -> tuple[int, int, int]:
-    """How far two word runs go on alike on either side, with how many matches. Where they fall out of step, some words
-    of either may be left out before three that match."""
-    ex = ey = n = 0
-    while True:
-        far, more = straight(x[ex:], y[ey:], cost)
-        ex, ey, n = ex + far, ey + far, n + more
-        for i, j in STEPS:
-            u, v = x[ex + i : ex + i + 3], y[ey + j : ey + j + 3]
-            if len(u) == 3 and len(v) == 3 and (u == v).all():
-                ex, ey = ex + i, ey + j
-                break
-        else:
-            return ex, ey, n
+    differ = np.flatnonzero(x[:n] != y[:n])
+    head = int(differ[0]) if len(differ) else n
+    x, y = x[head:], y[head:]
+    again = (x[:NEAR, None] == y[None, : NEAR + 4]).any(axis=1)
+    if not len(again) or not len(y) or 2 * again.sum() < len(again):
+        return [(head, head, head)] * len(costs)
+    common = np.zeros((len(x) + 1, len(y) + 1), np.int32)
+    for i, same in enumerate(x[:, None] == y[None]):
+        common[i + 1, 1:] = np.maximum(common[i, 1:], common[i, :-1] + same)
+        np.maximum.accumulate(common[i + 1], out=common[i + 1])
+    longer = np.maximum(np.arange(len(x) + 1)[:, None], np.arange(len(y) + 1))
+    out = []
+    for cost in costs:
+        i, j = divmod(int(((1 + cost) * common - cost * longer).argmax()), len(y) + 1)
+        out.append((head + i, head + j, head + int(common[i, j])))
+    return out
 
 
 def stretches(starts: np.ndarray, ends: np.ndarray, hits: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -448,9 +436,10 @@ def align(least: int, percent: int):
                 x, y = (flat[o[r] : o[r + 1]] for o, flat in (words["b"], words["a"]))
                 fb, fa = int(col["first_b"][r]), int(col["first_a"][r])
                 for sx0, ex0, sy0, ey0, n0 in spans_that_match(at_b[lo:hi] - fb, at_a[lo:hi] - fa, x, y, percent):
-                    for cost in (1, strict):  # a far reach may cost the share that a short one keeps
-                        after_b, after_a, more = reach(x[ex0:], y[ey0:], cost)
-                        before_b, before_a, most = reach(x[:sx0][::-1], y[:sy0][::-1], cost)
+                    # a far reach may cost the share that a short one keeps
+                    after = reach(x[ex0 : ex0 + MARGIN], y[ey0 : ey0 + MARGIN], (1, strict))
+                    before = reach(x[max(0, sx0 - MARGIN) : sx0][::-1], y[max(0, sy0 - MARGIN) : sy0][::-1], (1, strict))
+                    for (after_b, after_a, more), (before_b, before_a, most) in zip(after, before, strict=True):
                         sx, sy, ex, ey, n = sx0 - before_b, sy0 - before_a, ex0 + after_b, ey0 + after_a, n0 + more + most
                         if min(ex - sx, ey - sy) >= least and 100 * n >= percent * max(ex - sx, ey - sy):
                             out.append((int(col["b"][r]), int(col["a"][r]), sx + fb, ex + fb, sy + fa, ey + fa, n))
