@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,30 +46,66 @@ def words_of(raw: bytes | None) -> list[bytes]:
 
 
 class Index:
-    """Postings of the templates' words, and the templates' key phrases by position."""
+    """Postings of the templates' words, and the templates' key phrases by position.
 
-    def __init__(self, templates=TEMPLATES):
+    A text is looked up by its own licence words: `asked` holds the places of a template that a match cannot do without,
+    its key phrases or, without any, so many of its rarest words that two of them stand in place in every match.
+    """
+
+    def __init__(self, templates=TEMPLATES, idf: dict[bytes, float] | None = None):
         self.labels = [t[0] for t in templates]
         self.words = [t[1].encode().split() for t in templates]
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t, ws in enumerate(self.words):
-            for p, w in enumerate(ws):
-                self.postings[w].append((t, p))
+        self.idf = idf or {}
+        self.vocabulary = frozenset(w for ws in self.words for w in ws)
         self.keys = []
         for (_, _, keys), ws in zip(templates, self.words, strict=True):
             phrases = [k.encode().split() for k in keys]
             self.keys.append([(p, k) for k in phrases for p in range(len(ws)) if ws[p : p + len(k)] == k])
-
-    def probes(self, idf: dict[bytes, float]) -> dict[bytes, list[tuple[int, int]]]:
-        """Words to look up, with their templates and positions: a template's rarest word of those that its key phrases
-        ask for or, without any, so many of its rarest ones that a text that holds SHARE of it holds one of them."""
-        out: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.asked: list[list[int]] = []
+        self.needs: list[frozenset[bytes]] = []  # words without which a text holds no match
+        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, ws in enumerate(self.words):
-            asked = {p + j for p, k in self.keys[t] for j in range(len(k))}
-            rare = sorted(asked or range(len(ws)), key=lambda p, ws=ws: (-idf.get(ws[p], 0.0), ws[p], p))
-            for p in rare[: 1 if asked else len(ws) - math.ceil(SHARE * len(ws)) + 1]:
-                out[ws[p]].append((t, p))
-        return dict(out)
+            keyed = sorted({p + j for p, k in self.keys[t] for j in range(len(k))})
+            rare = sorted(range(len(ws)), key=lambda p, ws=ws: (*self.rarity(ws[p]), p))
+            self.asked.append(keyed or rare[: len(ws) - math.ceil(SHARE * len(ws)) + 2])
+            self.needs.append(frozenset(ws[p] for p in keyed))
+            for p in self.asked[t]:
+                self.postings[ws[p]].append((t, p))
+
+    def rarity(self, word: bytes) -> tuple[float, bytes]:
+        return -self.idf.get(word, 0.0), word
+
+    def starts(self, words: list[bytes]) -> dict[int, list[int]]:
+        """Where templates may begin in a text. Its licence words are taken by falling IDF until each template that it can
+        hold has two places among them (all that it has, where a template asks for fewer, or has no key phrase), and the
+        words' places, each less its place in the template, are intersected."""
+        present = self.vocabulary.intersection(words)
+        able = {t: [] for t, need in enumerate(self.needs) if need <= present}
+        if not able:
+            return {}
+        want = {t: min(2, len(self.asked[t])) if self.needs[t] else len(self.asked[t]) for t in able}
+        still = set(able)
+        for w in sorted(present & self.postings.keys(), key=self.rarity):
+            for t, p in self.postings[w]:
+                if t in still:
+                    able[t].append((w, p))
+                    if len(able[t]) == want[t]:
+                        still.remove(t)
+            if not still:
+                break
+        taken = {w for hits in able.values() for w, _ in hits}
+        where: dict[bytes, list[int]] = defaultdict(list)
+        for i, w in enumerate(words):
+            if w in taken:
+                where[w].append(i)
+        out = {}
+        for t, hits in able.items():
+            least = min(2, len(self.asked[t]))  # keyed templates: all of the places taken; others: two of them
+            agree = Counter(i - p for w, p in hits for i in where[w])
+            found = sorted(s for s, n in agree.items() if n >= least)
+            if found:
+                out[t] = found
+        return out
 
 
 def places(joined: bytes, phrase: bytes) -> list[int]:
@@ -85,7 +121,7 @@ def places(joined: bytes, phrase: bytes) -> list[int]:
 
 def document_words(batches):
     """Texts to the number of documents, per batch, that hold each licence word; the empty word counts all documents."""
-    vocabulary = frozenset(Index().postings)
+    vocabulary = Index().vocabulary
     for batch in batches:
         counts: dict[bytes, int] = defaultdict(int)
         for raw in batch.column(0):
@@ -96,22 +132,21 @@ def document_words(batches):
 
 
 def scan(idf: dict[bytes, float], templates):
-    index = Index(templates)
-    probes = index.probes(idf)
+    index = Index(templates, idf)
     phrases = [(b" " + p.encode() + b" ", label) for p, label in PHRASES.items()]
 
     def found(words: list[bytes]) -> dict[str, float]:
         """Labels of the templates that stand in the words, with the share of their words in place."""
-        wanted = probes.keys() & set(words)
         out: dict[str, float] = {}
-        for t, start in ((t, i - p) for i, w in enumerate(words) if w in wanted for t, p in probes[w]) if wanted else ():
+        for t, starts in index.starts(words).items():
             ws = index.words[t]
-            if start < 0 or start + len(ws) > len(words) + len(ws) // 4:
-                continue
-            if all(words[start + p : start + p + len(k)] == k for p, k in index.keys[t]):
-                share = sum(x == y for x, y in zip(ws, words[start : start + len(ws)], strict=False)) / len(ws)
-                if share >= SHARE:
-                    out[index.labels[t]] = max(share, out.get(index.labels[t], 0.0))
+            for start in starts:
+                if start < 0 or start + len(ws) > len(words) + len(ws) // 4:
+                    continue
+                if all(words[start + p : start + p + len(k)] == k for p, k in index.keys[t]):
+                    share = sum(x == y for x, y in zip(ws, words[start : start + len(ws)], strict=False)) / len(ws)
+                    if share >= SHARE:
+                        out[index.labels[t]] = max(share, out.get(index.labels[t], 0.0))
         return out
 
     def run(batches):
@@ -143,8 +178,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Other columns of docs are not read, so their names cannot clash.
 
     Document frequencies of the licence words are summed over the whole corpus; only the words of the templates, a few
-    hundred, reach the driver. Then each text is scanned where it lies: for each template the rarest word that it cannot
-    do without is looked up, and at each place of it the template's key phrases and words are verified.
+    hundred, reach the driver. Then each text is scanned where it lies: its own licence words of the highest IDF are looked
+    up, the places that they name are intersected by relative position, and where they agree on a start the template's key
+    phrases and words are verified. No match is lost by that (see Index.starts).
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))

@@ -473,7 +473,7 @@ def test_every_template_in_a_long_text(spark):
     r = random.Random(4)
     index = licenses.Index()
     every = " . ".join(t[1] for t in licenses.TEMPLATES)
-    bag = sorted(w.decode() for w in index.postings)
+    bag = sorted(w.decode() for w in index.vocabulary)
     damaged = [" ".join(w if r.random() > 0.1 else "x" for w in t[1].split()) for t in licenses.TEMPLATES for _ in range(4)]
     texts = [every, " ".join(bag) + " " + every, "licensed under cc by 4 0 " + licenses.TEMPLATES[0][1], " ".join(bag) + " released under the mit license " + " ".join(bag)]
     texts += damaged + [" ".join(r.choices(bag, k=300) + r.choice(damaged).split() + r.choices(bag, k=300)) for _ in range(40)]
@@ -495,6 +495,25 @@ def test_every_template_in_a_long_text(spark):
     assert {t[0] for t in licenses.TEMPLATES} <= set(got[0]["labels"].split(","))
 
 
+def test_starts_are_intersected_without_loss():
+    """Templates with one, many and no key phrases, among texts made of their words: every start with the share and the
+    key phrases is among those that the index names, and starts that only one word speaks for are not."""
+    r = random.Random(9)
+    templates = (("a", "x y x y x", ("x y",)), ("b", "p q r s t u v w", ()), ("c", "solo", ("solo",)), ("d", "one two three four", ("two", "four")), ("e", "n m", ()))
+    index = licenses.Index(templates, {w: r.random() for w in (b"x", b"y", b"p", b"q", b"u", b"two", b"four")})
+    for _ in range(400):
+        words = [w.encode() for w in r.choices("x y p q r s t u v w solo one two three four n m z".split(), k=r.randint(1, 40))]
+        if r.random() < 0.7:
+            words += [w if r.random() > 0.15 else b"z" for w in r.choice(index.words)]
+        starts = index.starts(words)
+        for t, (ws, keys) in enumerate(zip(index.words, index.keys, strict=True)):
+            for s in range(len(words)):
+                share = sum(x == y for x, y in zip(ws, words[s : s + len(ws)], strict=False)) / len(ws)
+                if share >= licenses.SHARE and all(words[s + p : s + p + len(k)] == k for p, k in keys):
+                    assert s in starts[t]
+    assert index.starts([b"p", b"z", b"z", b"q"]) == {} and index.starts(b"two z z four".split()) == {}
+
+
 # 1, 6: classifier, languages
 
 
