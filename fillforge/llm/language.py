@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ SAMPLE = 4000  # labelled texts of each language at most that its likelihoods ar
 BINS = 1 << 14  # of hashed byte trigrams
 WEIGHT = 100.0  # trigrams that a text's evidence counts for at most: they are far from independent
 MARKUP_RIGHT, SUFFIX_RIGHT = 0.85, 0.7  # chances that a declared language, a country's suffix tell the truth
+CHUNK = 1 << 20  # chances that a task holds at a time
 SMOOTHING = 10.0  # documents that each level of the host hierarchy lends to the one below
 
 #: Languages of country suffixes.
@@ -40,14 +42,15 @@ def bins(text: str) -> np.ndarray:
 
 
 def trigram_counts(batches):
-    """(lang, text, markup) to counts per language and bin."""
+    """(number of the language, text, markup) to counts per language and bin."""
     for batch in batches:
-        total: dict[str, np.ndarray] = {}
-        for lang, text, markup in zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True):
-            total[lang] = total.get(lang, np.zeros(BINS, np.int64)) + np.bincount(bins(visible(text) if markup else text), minlength=BINS)
-        for lang, n in total.items():
+        total: dict[int, np.ndarray] = {}
+        for no, text, markup in zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True):
+            total.setdefault(no, np.zeros(BINS, np.int64))
+            np.add.at(total[no], bins(visible(text) if markup else text), 1)
+        for no, n in total.items():
             at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["lang", "bin", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([no] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], ["no", "bin", "n"])
 
 
 def markup_language() -> Column:
@@ -58,11 +61,13 @@ def fit_text(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sam
     """Languages and log likelihoods (bin, language), counted by grouped sums.
 
     The languages are all that a row of labelled or of pages (page_id, html) declares and, if there is any, those of
-    SUFFIX_LANGUAGE. Each is fitted on at most `sample` of its texts; pages lend theirs to languages that no row of
-    labelled declares. A language without any text has NaN.
+    SUFFIX_LANGUAGE. Each is fitted on at most `sample` of its texts, those with the least hashes of id and text; rows that
+    repeat both count once. Pages lend theirs to languages that no row of labelled declares. A language without any text
+    has NaN. What reaches the driver is a number per language and bin: 0.13 MB a language.
     """
     shape = lambda df, lang, text, key, markup: df.select(F.lower(lang).alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(key, text).alias("key"), F.lit(markup).alias("markup")).where("lang is not null")
     count = lambda df: {r["lang"]: r["n"] for r in df.groupBy("lang").agg(F.count("text").alias("n")).collect()}
+    spark = labelled.sparkSession
     rows = shape(labelled, F.col(lang_col), text_col, id_col, False)
     sizes = count(rows)
     if pages is not None:
@@ -72,64 +77,103 @@ def fit_text(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, sam
     table = np.full((BINS, len(langs)), np.nan)
     if not langs:
         return langs, table
-    shares = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, (2 * sample + 100) / max(1, n)))])
-    low = rows.where("text is not null").where((F.pmod("key", F.lit(1 << 32)) / (1 << 32)) < shares[F.col("lang")])  # about twice the sample
-    ranked = low.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 32)), "key", "text")))
-    counted = ranked.where(F.col("_n") <= sample).select("lang", "text", "markup").mapInArrow(trigram_counts, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect()
-    at = {x: i for i, x in enumerate(langs)}
-    table[:, [at[x] for x in sorted({r["lang"] for r in counted})]] = 0.5
-    for r in counted:
-        table[r["bin"], at[r["lang"]]] += r["n"]
+    place = F.pmod("key", F.lit(1 << 32))
+    shares = [(lang, langs.index(lang), min(1.0, (2 * sample + 100) / max(1, n))) for lang, n in sizes.items()]  # about twice the sample
+    known = F.broadcast(spark.createDataFrame(shares, "lang string, no int, share double"))  # a row per language
+    low = rows.where("text is not null").withColumn("place", place).join(known, "lang").where(F.col("place") / (1 << 32) < F.col("share"))
+    order = Window.partitionBy("no").orderBy("place", "key")
+    ranked = low.select("no", "place", "key").distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample)
+    last = F.broadcast(ranked.groupBy("no").agg(F.max(F.struct("place", "key")).alias("last")))
+    picked = low.join(last, "no").where(F.struct("place", "key") <= F.col("last")).dropDuplicates(["no", "key"])
+    counted = picked.select("no", "text", "markup").mapInArrow(trigram_counts, "no int, bin int, n long").groupBy("no", "bin").agg(F.sum("n").alias("n")).toArrow()
+    no, at, n = (counted.column(c).to_numpy() for c in ("no", "bin", "n"))
+    table[:, np.unique(no)] = 0.5
+    table[at, no] += n
     return langs, np.log(table / table.sum(axis=0))
 
 
-def likelihoods(table: np.ndarray, markup: bool):
-    """(rest..., text) to (rest..., n_grams, ll): log likelihoods per language, at most WEIGHT trigrams' worth. Languages
-    without a fit get the mean of the others: the text says nothing of them."""
+def evidence(langs: list[str], table: np.ndarray, markup: bool):
+    """(rest..., text) to (rest..., n_grams, said, first, e): the log chances (e) of each language by the text, the declared
+    language and the suffix's, which of them is the largest by all (first) and by the text alone (said, null where it says
+    nothing). A text counts for at most WEIGHT trigrams. Languages without a fit get the mean of the others. A declared
+    language that is none of langs says nothing."""
     fitted = ~np.isnan(table).any(axis=0)
+    known = np.where(fitted, table, 0.0)
+    number = {x: i for i, x in enumerate(langs)}
+    others = max(1, len(langs) - 1)
+
+    def named(e: np.ndarray, lang: str | None, right: float) -> np.ndarray:
+        i = number.get(lang)
+        if i is None:
+            return e
+        e = e + math.log((1 - right) / others)
+        e[i] += math.log(right) - math.log((1 - right) / others)
+        return e
 
     def run(batches):
-        for batch in batches:
-            grams, out = [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                at = bins(visible(text) if markup and text else text or "")
-                grams.append(len(at))
-                ll = table[at].sum(axis=0) * min(1.0, WEIGHT / max(1, len(at)))
-                ll[~fitted] = ll[fitted].mean() if fitted.any() else 0.0
-                out.append(ll)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(grams, pa.int64()), pa.array(out, pa.list_(pa.float64()))], [*batch.schema.names[:-1], "n_grams", "ll"])
+        step = max(1, CHUNK // len(langs))
+        for batch in (b.slice(lo, step) for b in batches for lo in range(0, b.num_rows, step)):
+            grams, said, first, out = [], [], [], []
+            for text, declared, hint in zip(*[batch.column(c).to_pylist() for c in ("text", "declared", "hint")], strict=True):
+                at, times = np.unique(bins(visible(text) if markup and text else text or ""), return_counts=True)
+                n = int(times.sum())
+                e = times @ known[at] * min(1.0, WEIGHT / max(1, n))
+                e[~fitted] = e[fitted].mean() if fitted.any() else 0.0
+                grams.append(n)
+                said.append(int(e.argmax()) if n and fitted.any() else None)
+                e = named(named(e, declared, MARKUP_RIGHT), hint, SUFFIX_RIGHT)
+                first.append(int(e.argmax()))
+                out.append(e)
+            rest = [c for c in batch.schema.names if c not in ("text", "hint")]
+            more = [pa.array(grams, pa.int64()), pa.array(said, pa.int32()), pa.array(first, pa.int32()), pa.array(out, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], *more], [*rest, "n_grams", "said", "first", "e"])
 
     return run
 
 
-def best(scores: Column, langs: list[str]) -> Column:
-    return F.get(F.array(*map(F.lit, langs)), (F.array_position(scores, F.array_max(scores)) - 1).cast("int"))
+def host_counts(first: DataFrame) -> DataFrame:
+    """Per host: how many texts name which language (first), of the host, its domain and its suffix, as arrays of (first,
+    n): rows for what occurs, none for what does not."""
+    sums = lambda df, by: df.groupBy(by, "first").agg(F.sum("n").alias("n")).groupBy(by).agg(F.collect_list(F.struct("first", "n")).alias(f"of_{by}")).withColumnRenamed(by, f"_{by}")
+    labels = F.split("host", r"\.")
+    counts = first.groupBy("host", "first").agg(F.count("*").alias("n"))
+    counts = staged(counts.withColumns({"domain": F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), "."), "suffix": F.element_at(labels, -1)}), "hosts")
+    out = counts.select("host", "domain", "suffix").distinct()
+    for by in ("suffix", "domain", "host"):
+        found = sums(counts, by)
+        out = out.join(found, out[by].eqNullSafe(found[f"_{by}"]), "left")
+    return out.select(F.col("host").alias("_host"), "of_suffix", "of_domain", "of_host")
 
 
-def hit_or_miss(found: Column, lang: str, others: int, right: float) -> Column:
-    """Log chance that the evidence names this language; none where it names no known one."""
-    return F.when(found == lang, math.log(right)).otherwise(math.log((1 - right) / max(1, others)))
+def fuse(whole: np.ndarray):
+    """(rest..., e, of_suffix, of_domain, of_host) to (rest..., best, confidence). The prior of a host is the share of the
+    languages of its texts, smoothed by its domain's, that by its suffix's and that by all texts' (whole: their counts)."""
+    start = (whole + 1.0) / (whole.sum() + len(whole))
+    levels = ("of_suffix", "of_domain", "of_host")
+    step = max(1, CHUNK // len(whole))
 
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, step):
+                yield fused(batch.slice(lo, step))
+
+    def fused(batch: pa.RecordBatch) -> pa.RecordBatch:
+        e = batch.column("e").flatten().to_numpy().reshape(batch.num_rows, -1)
+        prior = np.tile(start, (batch.num_rows, 1))
+        for level in levels:
+            column = batch.column(level)
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(column).to_numpy())
+            first, n = (column.flatten().field(c).to_numpy() for c in ("first", "n"))
+            prior *= SMOOTHING
+            np.add.at(prior, (row, first), n)
+            prior /= np.bincount(row, n, minlength=batch.num_rows)[:, None] + SMOOTHING
+        p = e + np.log(prior)
+        top = p.argmax(axis=1)
+        sure = 1 / np.exp(p - p.max(axis=1, keepdims=True)).sum(axis=1)
+        rest = [c for c in batch.schema.names if c not in ("e", *levels)]
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(top, pa.int32()), pa.array(sure)], [*rest, "best", "confidence"])
 
-def host_priors(first: DataFrame, langs: list[str]) -> DataFrame:
-    """_host with _prior: log shares of the languages of its texts, smoothed by its domain's, those by its suffix's and
-    those by all texts'. Texts are counted by what text and markup say of them."""
-    names = [f"c{i}" for i in range(len(langs))]
-    counts = staged(first.groupBy("host").agg(*[F.count_if(F.col("first") == x).alias(c) for x, c in zip(langs, names, strict=True)]), "hosts")
-    labels = F.split("host", r"\.")
-    counts = counts.withColumns({"domain": F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), "."), "suffix": F.element_at(labels, -1)})
-    total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
-    whole = sum(total)
-    level = counts
-    prior = [F.lit((total[c] + 1) / (whole + len(langs))) for c in names]
-    for by in ("suffix", "domain", "host"):
-        sums = counts.groupBy(F.col(by).alias("_by")).agg(*[F.sum(c).alias(f"s{i}") for i, c in enumerate(names)])
-        level = level.join(sums, level[by].eqNullSafe(sums["_by"]), "left")
-        n = sum((F.col(f"s{i}") for i in range(1, len(names))), F.col("s0"))
-        prior = [((F.col(f"s{i}") + SMOOTHING * p) / (n + SMOOTHING)).alias(f"p_{by}{i}") for i, p in enumerate(prior)]
-        level = level.select("host", "domain", "suffix", *names, *prior) if by != "host" else level.select(F.col("host").alias("_host"), F.array(*[F.log(p) for p in prior]).alias("_prior"))
-        prior = [F.col(f"p_{by}{i}") for i in range(len(names))]
-    return level
+    return run
 
 
 def identify(rows: DataFrame, langs: list[str], table: np.ndarray, key: list[str], text_col: str, declared: Column, host: Column, markup: bool) -> DataFrame:
@@ -142,32 +186,28 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray, key: list[str
     gives an empty result. Columns that are not named are not read, so their names cannot clash. Texts are read whole,
     however long; as neighbouring trigrams depend on each other, the mean log likelihood of a text's trigrams counts
     WEIGHT times at most, else a few hundred words would drown any other evidence.
+
+    Plans do not grow with the languages: their chances are arrays, made and added up in whole batches, and hosts count
+    only those that their texts name. The table of likelihoods goes to the tasks, 0.13 MB a language.
     """
     ship(rows.sparkSession)
     suffix = F.lower(F.element_at(F.split(host, r"\."), -1))
     named = F.create_map(*[F.lit(x) for kv in SUFFIX_LANGUAGE.items() for x in kv])
-    thin = rows.select(*key, F.lower(declared).alias("declared"), F.lower(host).alias("host"), suffix.alias("suffix"), F.col(text_col).cast("string").alias("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in thin.schema.fields[:-1]) + ", n_grams long, ll array<double>"
+    hint = F.when(F.lower(host).contains("."), F.try_element_at(named, suffix))
+    thin = rows.select(*key, F.lower(declared).alias("declared"), F.lower(host).alias("host"), hint.alias("hint"), F.col(text_col).cast("string").alias("text"))
+    rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in thin.schema.fields[:-2])
     if not langs:
         none = F.lit(None).cast("string")
         return thin.select(*key, none.alias("lang"), F.lit(0.0).alias("confidence"), none.alias("text_lang"), "declared", "host", F.lit(0).cast("long").alias("n_grams"))
-    scored = thin.mapInArrow(likelihoods(table, markup), schema)
-    by_suffix = F.when(F.col("host").contains("."), F.try_element_at(named, F.col("suffix")))
-    known = F.array(*map(F.lit, langs))
-    evidence = []
-    for i, x in enumerate(langs):
-        said = F.when(F.array_contains(known, F.col("declared")), hit_or_miss(F.col("declared"), x, len(langs) - 1, MARKUP_RIGHT)).otherwise(0.0)
-        hint = F.when(F.array_contains(known, F.col("_hint")), hit_or_miss(F.col("_hint"), x, len(langs) - 1, SUFFIX_RIGHT)).otherwise(0.0)
-        evidence.append(F.get("ll", i) + said + hint)
-    scored = scored.withColumn("_hint", by_suffix).withColumn("_e", F.array(*evidence)).withColumn("first", best(F.col("_e"), langs))
-    scored = staged(scored, "evidence")
-    prior = staged(host_priors(scored, langs), "host_priors")
-    out = scored.join(prior, scored["host"].eqNullSafe(prior["_host"]), "left")
-    out = out.withColumn("_p", F.zip_with("_e", "_prior", lambda e, p: e + p))
-    top = F.array_max("_p")
-    sure = 1 / F.aggregate(F.transform("_p", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
-    text_lang = F.when((F.col("n_grams") > 0) & F.lit(not np.isnan(table).any(axis=0).all()), best(F.col("ll"), langs))
-    return out.select(*key, best(F.col("_p"), langs).alias("lang"), sure.alias("confidence"), text_lang.alias("text_lang"), "declared", "host", "n_grams")
+    scored = staged(thin.mapInArrow(evidence(langs, table, markup), f"{rest}, n_grams long, said int, first int, e array<double>"), "evidence")
+    whole = np.zeros(len(langs))
+    for r in scored.groupBy("first").agg(F.count("*").alias("n")).collect():  # a row per language at most
+        whole[r["first"]] = r["n"]
+    priors = staged(host_counts(scored), "host_counts")
+    both = scored.join(priors, scored["host"].eqNullSafe(priors["_host"])).drop("_host", "first")
+    out = both.mapInArrow(fuse(whole), f"{rest}, n_grams long, said int, best int, confidence double")
+    name = lambda c: F.get(F.array(*map(F.lit, langs)), F.col(c))
+    return out.select(*key, name("best").alias("lang"), "confidence", name("said").alias("text_lang"), "declared", "host", "n_grams")
 
 
 def page_languages(pages: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:

@@ -625,6 +625,19 @@ def test_rare_languages_are_known(spark):
     assert (found[1]["lang"], found[1]["text_lang"], found[2]["lang"]) == ("hu", "hu", "ja")
 
 
+def test_a_thousand_declared_codes(spark):
+    """Junk codes are classes like any other; the plan does not grow with them."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    codes = [a + b + c for a in letters for b in letters for c in letters][::17][:1000]
+    rows = [(i, f"http://h{i % 300}.x{i % 50}.{['com', 'de', 'org'][i % 3]}/", f"<html lang={codes[i % 1000]}><p>{prose(i, 3)}") for i in range(10_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    docs = spark.createDataFrame([(1, prose(1, 20), "en", "a")], "doc_id long, text string, lang string, source string")
+    langs, table = language.fit_text(docs, "doc_id", "text", "lang", pages=pages)
+    assert len(langs) > 1000
+    got = language.page_languages(pages, langs, table).collect()
+    assert len(got) == 10_000 and np.mean([r["lang"] == r["declared"] for r in got]) > 0.5 and all(0 < r["confidence"] <= 1 for r in got)
+
+
 # The pipeline
 
 
