@@ -14,7 +14,6 @@ TRAIN = 8192  # vectors at least that the codebooks are fitted on, 16 per centro
 QUERIES = 256  # vectors whose neighbours among all rows are found by brute force to set the traversal's length
 MOST_QUERIES, LINKED = 4096, 64  # more are drawn, up to so many, until so many of them have links
 LEAST_CELLS, SPARE = 8, 4  # cells that a traversal visits at least; times the rank that reached the target recall
-UNSEEN_CELLS = 64  # cells that a traversal visits at least where fewer queries than LINKED have links
 PART = 512  # rows of a side of a block
 
 
@@ -73,11 +72,17 @@ class MultiIndex:
         take = np.argsort(total, 1, kind="stable")[:, :cells]
         return (oa[:, r] * len(self.books[1]) + ob[:, s])[row, take], total[row, take][:, -1]
 
-    def rank(self, x: np.ndarray, cell: int) -> int:
-        """How many cells are nearer to the vector x than this one."""
-        a, b = (d[0] for d in self.distances(x[None]))
-        i, j = divmod(cell, len(self.books[1]))
-        return int(np.searchsorted(np.sort(b), a[i] + b[j] - a, side="left").sum())
+    def ranks(self, x: np.ndarray, which: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How many cells are nearer to the vector x[w] than the cell c, for each w of which and c of cells. Distances are
+        sorted once per vector; equal pairs should be put together before."""
+        a, b = self.distances(x)
+        i, j = np.divmod(cells, len(self.books[1]))
+        out = np.zeros(len(cells), np.int64)
+        for w in np.unique(which).tolist():
+            at = np.flatnonzero(which == w)
+            gaps = (a[w, i[at]] + b[w, j[at]])[:, None] - a[w]
+            out[at] = np.searchsorted(np.sort(b[w]), gaps.ravel(), side="left").reshape(gaps.shape).sum(axis=1)
+        return out
 
 
 def ranks_of_neighbours(index: MultiIndex, queries: np.ndarray, least: float):
@@ -88,15 +93,26 @@ def ranks_of_neighbours(index: MultiIndex, queries: np.ndarray, least: float):
             if batch.num_rows:
                 x = unit(stacked(batch.column(0)))
                 cos = queries @ x.T
-                hits = np.argwhere((cos >= least) & (cos < 1 - 1e-12))
-                cells = index.cells(x)
-                found = [(q, index.rank(queries[q], int(cells[y]))) for q, y in hits.tolist()]
-                both, n = np.unique(np.array(found, np.int64).reshape(-1, 2), axis=0, return_counts=True)
+                q, y = np.nonzero((cos >= least) & (cos < 1 - 1e-12))  # not the query itself: classes are distinct
+                pairs, n = np.unique(np.stack([q, index.cells(x)[y]], axis=1), axis=0, return_counts=True)
+                both = np.stack([pairs[:, 0], index.ranks(queries, pairs[:, 0], pairs[:, 1])], axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(n, pa.int64())], ["query", "rank", "n"])
 
     return run
 
 
+def planted_ranks(index: MultiIndex, queries: np.ndarray, least: float, seed: int = 5) -> list[dict]:
+    """As ranks_of_neighbours gives them, for one made-up neighbour of each query at a cosine between least and 1: what the
+    index does to links is known even where a table has few."""
+    rng = np.random.default_rng(seed)
+    away = rng.normal(size=queries.shape)
+    away = unit(away - (away * queries).sum(axis=1, keepdims=True) * queries)
+    cos = rng.uniform(least, 1, (len(queries), 1))
+    at = np.arange(len(queries))
+    found = index.ranks(queries, at, index.cells(cos * queries + np.sqrt(1 - cos**2) * away))
+    return [{"query": q, "rank": r, "n": 1} for q, r in zip(at.tolist(), found.tolist(), strict=True)]
+
+
 def cells_to_visit(ranks: list, recall: float) -> tuple[int, int]:
     """How many queries have links, and how many cells reach the target recall for that share of them: each query counts
     alike, so that a large group of near copies does not speak for the rest. ranks: (query, rank, n) by query and rank."""
@@ -207,7 +223,7 @@ def linked(classes: DataFrame, total: int, least: float, recall: float) -> DataF
 
     Codebooks of both halves are fitted on a bounded sample; every class is indexed. A brute-force search of QUERIES
     vectors, or more where few have links, against all rows sets how many cells a traversal visits: SPARE times those
-    that reach the target recall. Members and visitors of a cell meet in blocks of PART by PART; a block returns counts
+    that reach the target recall. Where too few have links at all, made-up neighbours of theirs count as well. Members and visitors of a cell meet in blocks of PART by PART; a block returns counts
     and joining edges, no pairs. A cell of N vectors is thus read N / PART times, which a cluster of near copies costs.
     """
     spark = classes.sparkSession
@@ -228,7 +244,9 @@ def linked(classes: DataFrame, total: int, least: float, recall: float) -> DataF
         if some >= LINKED or drawn >= min(MOST_QUERIES, total):
             break
         drawn *= 4
-    cells = max(LEAST_CELLS if some >= LINKED else UNSEEN_CELLS, SPARE * cells)
+    if some < LINKED:
+        cells = max(cells, cells_to_visit(planted_ranks(index, queries, least), recall)[1])
+    cells = max(LEAST_CELLS, SPARE * cells)
     cells = min(cells, len(index.books[0]) * len(index.books[1]))
     placed = staged(classes.select("k", "n", "v").mapInArrow(visit(index, cells), "k long, n long, v array<double>, g long, visits boolean, cell long, last long"), "placed")
     parts = placed.groupBy("g").agg(F.ceil(F.count_if("visits") / PART).cast("int").alias("ms"), F.ceil(F.count_if(~F.col("visits")) / PART).cast("int").alias("ps"))

@@ -446,6 +446,30 @@ def test_vectors_recall(spark, sf):
     assert sum(r["n_links"] for r in got.values()) >= 0.9 * (int((x @ x.T >= 0.9).sum()) - len(rows)) > 0
 
 
+def test_ranks_equal_counting():
+    r = np.random.default_rng(3)
+    x = embeddings.unit(r.normal(size=(300, 8)))
+    index = embeddings.MultiIndex(x, 8)
+    which, cells = r.integers(0, 300, 50), r.integers(0, 64, 50)
+    a, b = index.distances(x)
+    for w, c, got in zip(which, cells, index.ranks(x, which, cells), strict=True):
+        i, j = divmod(int(c), 8)
+        assert got == (a[w][:, None] + b[w][None] < a[w, i] + b[w, j]).sum()
+
+
+def test_rare_pairs_are_found(spark):
+    """Twenty pairs at the least cosine among four thousand vectors: too few for a sample to meet, so that the length of
+    the traversal comes from made-up neighbours."""
+    r = np.random.default_rng(8)
+    x = embeddings.unit(r.normal(size=(4000, 32)))
+    for i in range(20):
+        away = r.normal(size=32)
+        away -= away @ x[i] * x[i]
+        x[2000 + i] = 0.905 * x[i] + np.sqrt(1 - 0.905**2) * away / np.linalg.norm(away)
+    got = by_id(embeddings.embedding_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")), "vec_id")
+    assert sum(got[2000 + i]["component_id"] == i for i in range(20)) >= 18
+
+
 # 4: licences
 
 
