@@ -138,6 +138,36 @@ def base58_bytes(text: pd.Series) -> pd.Series:
 from_base58 = base58_bytes.asNondeterministic()
 
 
+LETTERS = np.frombuffer(ALPHABET.encode(), np.uint8)
+
+
+def encode58_all(raws: list[bytes | None]) -> list[str | None]:
+    """encode58 of each value: those of like length together, as columns of 32-bit limbs that are divided by 58^STEP at a
+    time; long ones on their own."""
+    out: list[str | None] = [None] * len(raws)
+    alike: dict[int, list[int]] = {}
+    for i, raw in enumerate(raws):
+        if raw is not None and len(raw) <= LONGEST:
+            alike.setdefault(-(-len(raw) // 4), []).append(i)
+        else:
+            out[i] = encode58(raw)
+    for n, at in alike.items():
+        limbs = np.frombuffer(b"".join(raws[i].rjust(4 * n, b"\0") for i in at), ">u4").reshape(len(at), n).T.astype(np.uint64)
+        groups = []
+        for _ in range(-(-(32 * n) // 29)):  # 58^5 has more than 29 bits
+            rest = np.zeros(len(at), np.uint64)
+            for j in range(n):
+                whole = rest << np.uint64(32) | limbs[j]
+                limbs[j], rest = whole // np.uint64(58**STEP), whole % np.uint64(58**STEP)
+            groups.append(rest)
+        digits = np.stack([g // np.uint64(58**k) % np.uint64(58) for g in reversed(groups) for k in range(STEP - 1, -1, -1)], axis=1) if groups else np.empty((len(at), 0), np.uint64)
+        text, size = LETTERS[digits.astype(np.int64)].tobytes().decode(), digits.shape[1]
+        for k, i in enumerate(at):
+            zeros = len(raws[i]) - len(raws[i].lstrip(b"\0"))
+            out[i] = "1" * zeros + text[k * size : (k + 1) * size].lstrip("1")
+    return out
+
+
 @F.pandas_udf(T.StringType())
 def to_base58(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda x: encode58(bytes(x)), na_action="ignore")
+    return pd.Series(encode58_all([None if x is None else bytes(x) for x in raw]), dtype=object)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fillforge.functions import clean
-from fillforge.functions.binary import abs_decimal, abs_text, decode58, decode58_all, encode58, from_base58, i128_parts, to_base58, u128_le, uint_le
+from fillforge.functions.binary import abs_decimal, abs_text, decode58, decode58_all, encode58, encode58_all, from_base58, i128_parts, to_base58, u128_le, uint_le
 from fillforge.operators import decode, enrich, mutate, registry, repair, rollup
 from fillforge.plans import jobs
 from fillforge.plans.fixtures import fx
@@ -28,6 +28,7 @@ def one(df):
 def test_base58_of_many_texts():
     rng = random.Random(5)
     raw = [b"\0" * rng.choice((0, 0, 1, 3)) + rng.randbytes(rng.choice((0, 1, 2, 4, 19, 32, 64, 180, 300))) for _ in range(3000)]
+    assert encode58_all([*raw, None, b"", b"\xff" * 250, b"\xff" * 251]) == [encode58(x) for x in [*raw, None, b"", b"\xff" * 250, b"\xff" * 251]]
     texts = [encode58(x) for x in raw] + [None, "", "1", "0", "z" * 5, "z" * 250, "1" * 7, "é" * 5, "ab\0"]
     assert decode58_all(texts) == [decode58(x) for x in texts] and decode58_all(texts)[: len(raw)] == raw
 
