@@ -1,6 +1,7 @@
 """The corpus operators against brute force, the libraries themselves, and awkward rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -541,6 +542,36 @@ def test_starts_are_intersected_without_loss():
 # 1, 6: classifier, languages
 
 
+def others(words, low, raw, share, odd):
+    """The labellers of symbols, capitals, bare signs, echoes, word lengths and sentence ends, counted with plain loops."""
+    bad, good = weaklabels.BAD, weaklabels.GOOD
+    letters = [c for c in raw if c.isascii() and c.isalpha()]
+    lines = [x for x in raw.encode().split(b"\n") if x.strip()]
+    again = share(len(lines) - len(set(lines)), len(lines)) if len(lines) > 2 else 0.0
+    twice = share(sum(a == b for a, b in zip(low, low[1:], strict=False)), len(words))
+    mean = share(sum(map(len, words)), len(words))
+    return {
+        "v_symbols": bad * (share(sum(c in "#*$%&|<>{}[]~^" for c in raw), len(words)) >= 0.15), "v_shouting": bad * (share(sum(c.isupper() for c in letters), len(letters)) >= 0.4),
+        "v_bare_signs": bad * (odd(lambda w: all(not chr(c).isalnum() and 0x20 < c < 0x7F for c in w)) >= 0.12), "v_echo": bad * (max(again, twice) >= 0.3),
+        "v_word_length": good if 3 <= mean <= 9 else bad * (mean < 2 or mean > 14), "v_sentences": good * (odd(lambda w: w[-1:] in (b".", b",", b";", b":")) >= 0.04),
+    }
+
+
+def test_scorer_equals_the_definition(docs):
+    """Scores by hand from the fitted weights: logarithms of counts of words and of shapes, each kind to unit length."""
+    r = np.random.default_rng(2)
+    w, bias = r.normal(size=weaklabels.BINS), 0.3
+    for raw in [x["text"] for x in docs.select("text").collect()]:
+        t = weaklabels.Look(raw.encode() if raw is not None else None)
+        want = bias
+        for bins in ((t.bins & (weaklabels.BINS - 1)).tolist(), (t.bins >> weaklabels.BITS).tolist()):
+            counts = Counter(bins)
+            length = math.sqrt(sum(math.log1p(n) ** 2 for n in counts.values()))
+            want += sum(w[b] * math.log1p(n) / length for b, n in counts.items())
+        row, at, x = weaklabels.features([t.bins.tobytes()])
+        assert float(np.bincount(row, w[at] * x, 1)[0]) + bias == pytest.approx(want)
+
+
 def test_votes_and_scores_equal_the_definitions(docs, real):
     """Vote patterns, posteriors and scores row by row: words, windows and blocks counted with plain sets."""
     def plain(raw):
@@ -555,7 +586,7 @@ def test_votes_and_scores_equal_the_definitions(docs, real):
         return {
             "v_odd_ends": bad * (odd(lambda w: w[-1:] in [bytes([c]) for c in b"#*$%&|!?<>~^=+_"]) >= 0.12), "v_runs": bad * (odd(lambda w: re.search(rb"([!-/:-@\[-`{-~])\1", w)) >= 0.12),
             "v_distinct": bad * (len(low) >= 20 and 1 - blocks / len(low) >= 0.75), "v_windows": bad * (bool(grams) and 1 - len(set(grams)) / max(1, len(grams)) >= 0.3),
-            "v_prose": weaklabels.GOOD if known >= 0.08 else bad * (known < 0.01 and len(words) >= 50), "v_empty": bad * (len(words) < 3),
+            **others(words, low, raw or "", share, odd), "v_prose": weaklabels.GOOD if known >= 0.08 else bad * (known < 0.01 and len(words) >= 50), "v_empty": bad * (len(words) < 3),
         }
 
     for df in (docs, real):
@@ -674,3 +705,47 @@ def test_pipeline(spark, sf, docs):
     assert out.count() == rows.count() > 0 and corpus_pipeline.run(spark, sf).count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf).count() == 0
+
+
+def test_pipeline_stages_equal_brute_force(spark, sf):
+    """Each stage's rows against a plain version over what the stage before kept."""
+    now = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = {r["doc_id"] for r in quality.quality_report(now).where("kept").collect()}
+    after = corpus_pipeline.quality_rules(spark, now, sf)
+    assert Counter(map(tuple, after.collect())) == Counter(tuple(r) for r in now.collect() if r["doc_id"] in kept)
+
+    now = spark.createDataFrame(after.collect(), after.schema)
+    texts = {r["doc_id"]: r["text"] for r in now.collect()}
+    sets, ids = {i: shingle_set(t, 5) for i, t in texts.items()}, sorted(texts)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    groups = top(links, ids)
+    after = corpus_pipeline.near_dedup(spark, now, sf)
+    assert links and sorted(r["doc_id"] for r in after.collect()) == [i for i in ids if groups[i] == i]
+
+    now = spark.createDataFrame(after.collect(), after.schema)
+    before = {r["doc_id"]: r["text"].split() for r in now.collect()}
+    after = corpus_pipeline.substring_dedup(spark, now, sf)
+    left = {r["doc_id"]: r["text"].split() for r in after.collect()}
+    spans = {}
+    for r in passages.passage_report(now).collect():
+        spans.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    assert left == {i: rest for i, w in before.items() if (rest := [x for k, x in enumerate(w) if k not in spans.get(i, ())])}
+    runs, seen = lambda w: {tuple(x.lower() for x in w[k : k + 50]) for k in range(len(w) - 49)}, {}
+    for i in sorted(before):  # each run of 50 words that an earlier document holds lies in a reported passage
+        for k in range(len(before[i]) - 49):
+            run = tuple(x.lower() for x in before[i][k : k + 50])
+            assert seen.setdefault(run, i) == i or set(range(k, k + 50)) <= spans[i]
+    assert spans and runs(left[min(left)]) == runs(before[min(before)])
+
+    now = spark.createDataFrame(after.collect(), after.schema)
+    after = corpus_pipeline.mix_sources(spark, now, sf)
+    times = Counter(map(tuple, after.collect()))
+    want = {r["doc_id"]: r["taken"] // r["size"] if r["size"] else 0 for r in mixing.mix_report(now).collect()}
+    assert times == Counter({tuple(r): want[r["doc_id"]] for r in now.collect() if want[r["doc_id"]]})
+
+    now = spark.createDataFrame(after.collect(), after.schema)
+    tok = Tokenizer.from_file(WORD_BPE)
+    ids_of = {r["doc_id"]: tok.encode(r["text"], add_special_tokens=False).ids for r in now.collect()}
+    for r in corpus_pipeline.encode(spark, now, sf).collect():
+        ids = ids_of[r["doc_id"]]
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest())
