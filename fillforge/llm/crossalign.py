@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,11 +58,13 @@ class Aligner:
         self.a = ByteCoder(a)
         self.a.tok.encode_special_tokens = True
         byte_of = {c: i for i, c in enumerate(BYTE_CHARS)}
-        entries = sorted(self.a.tok.get_vocab(with_added_tokens=True).items(), key=lambda e: e[1])
+        entries = self.a.tok.get_vocab(with_added_tokens=True).items()
         self.bytes_a = {i: bytes(map(byte_of.__getitem__, t)) if all(c in byte_of for c in t) else t.encode() for t, i in entries}
+        self.size_a, self.name_a = {i: len(t) for i, t in self.bytes_a.items()}, {i: str(i) for i in self.bytes_a}
         self.b = sentencepiece.SentencePieceProcessor(model_file=b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.bytes_b = {i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)} | {-1: b""}
+        self.size_b, self.name_b = {i: len(t) for i, t in self.bytes_b.items()}, {i: str(i) for i in self.bytes_b}
         self.space = self.b.piece_to_id("▁")
         ordinary = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
         self.cuts = not any(re.search("[^▁]▁|.\n|\n.", p, re.DOTALL) for p in ordinary)
@@ -102,22 +104,19 @@ class Aligner:
         return [learnt[k] if f is None else f for k, f in zip(keys, found, strict=True)]
 
     def aligned(self, raw: bytes, a: list[int], b: list[int]) -> tuple:
-        of_a, of_b = list(map(self.bytes_a.__getitem__, a)), [self.bytes_b[i] if i >= 0 else b"" for i in b]
-        if b"".join(of_a) != raw or b"".join(of_b) != raw:
+        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
             return 0, 0, "", (), False
         if len(a) == 1 and len(b) == 1:
             return 1, 1, f"{a[0]}|{b[0]}", (a[0] << 32 | b[0],), True
-        groups, pairs = [], []
-        i = j = at_a = at_b = first_a = first_b = 0
-        while i < len(a):
-            if at_a <= at_b:
-                at_a += len(of_a[i])
-                i += 1
-            while at_b < at_a:
-                at_b += len(of_b[j])
-                j += 1
-            if at_a == at_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
+        groups, pairs, ends = [], [], {e: j for j, e in enumerate(accumulate(map(self.size_b.__getitem__, b)), 1)}
+        name_a, name_b = list(map(self.name_a.__getitem__, a)), list(map(self.name_b.__getitem__, b))
+        first_a = first_b = 0
+        for i, end in enumerate(accumulate(map(self.size_a.__getitem__, a)), 1):
+            j = ends.get(end)
+            if j is not None:
+                of_a = name_a[first_a] if i == first_a + 1 else ",".join(name_a[first_a:i])
+                of_b = name_b[first_b] if j == first_b + 1 else ",".join(name_b[first_b:j])
+                groups.append(of_a + "|" + of_b)
                 pairs.append(a[i - 1] << 32 | b[j - 1])
                 first_a, first_b = i, j
         return len(a), len(b), ";".join(groups), tuple(pairs), True
