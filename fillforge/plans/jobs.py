@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fillforge.operators import decode, enrich, mutate, registry, repair, rollup
 from fillforge.sources import deliveries, scans
+from fillforge.streaming.ingest import Ingest
 
 
 def ingest_job(raw: DataFrame, stored: DataFrame, programs: list[str], markets: DataFrame, blocklist: DataFrame, layouts: DataFrame, most: int = 500) -> tuple[DataFrame, DataFrame]:
@@ -16,6 +17,17 @@ def ingest_job(raw: DataFrame, stored: DataFrame, programs: list[str], markets:
     return mutate.upsert_ignore(stored, rows), bad
 
 
+def ingest_batch(raw: DataFrame, job: Ingest, number: int, most: int = 500) -> dict[str, int]:
+    """Stores raw deliveries (body) as a batch of the job's target, and returns its counters with `rejected`, all observed
+    on the writes. Deliveries are validated once and written with the reason of their rejection, if any, below
+    deliveries/batch=<number>; that table is the quarantine as well."""
+    path, seen = f"{job.log.path}/deliveries/batch={number}", Observation()
+    marked = deliveries.mark_deliveries(deliveries.read_deliveries(raw.select("body")), most).select("body", "reason")
+    marked.observe(seen, F.count("reason").alias("rejected")).write.mode("overwrite").parquet(path)
+    good = raw.sparkSession.read.schema("body string, reason string").parquet(path).where("reason is null").select("body")
+    return job.store(deliveries.transactions(deliveries.read_deliveries(good)), number) | {"rejected": seen.get.get("rejected", 0)}
+
+
 def rollup_job(stats: DataFrame, trades: DataFrame, markets: DataFrame, network: str, as_of: Column) -> DataFrame:
     """The market list with fresh 24h volumes."""
     return rollup.markets_with_stats(markets, rollup.market_stats_rollup(stats, trades, network, as_of))

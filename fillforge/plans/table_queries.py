@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fillforge.operators import rollup
 from fillforge.operators.versions import Conflict, Versions
+from fillforge.plans import jobs
 from fillforge.plans.fixtures import AS_OF, fx, mk, oracle, table
 from fillforge.plans.market_queries import EXTRACTION_SQL, no_layouts
 from fillforge.plans.rawdata import PROGRAM, address, raw_transactions
@@ -120,7 +121,28 @@ def live_ingest(s, d):
     return stored_columns(job.target.read().where("network = 'devnet'"))
 
 
+def ingest_counters(s, d):
+    """The counters of two batches of deliveries: every other transaction and a bad delivery, then all of them."""
+    trades = fx(s, d)
+    txs = raw_transactions(trades, F.col("leg_index") == 2)
+    bodies = txs.select("signature", F.to_json(F.array(F.struct(*live.COLUMNS))).alias("body"))
+    first = trades.where("floor(event_id / 3) % 2 = 0").select(address(F.col("tx_signature"), 64).alias("signature")).distinct()
+    slabs = trades.select(address(F.col("slab_address")).alias("slab_address")).distinct()
+    target = KeyedTarget(s, shared_path(s, "target"), buckets=8)
+    job = Ingest(target, [PROGRAM], lambda: slabs.where("slab_address not like 'Mz3%'"), lambda: slabs.where("slab_address like 'M17%'"), no_layouts(s))
+    one = bodies.join(first, "signature", "left_semi").select("body").union(s.sql("select '[5]' as body"))
+    rows = [{"batch": n, **jobs.ingest_batch(raw, job, n)} for n, raw in enumerate((one, bodies.select("body")))]
+    return s.createDataFrame(rows, "batch long, indexed long, skipped long, blocked long, failed long, rejected long")
+
+
+COUNTERS_SQL = EXTRACTION_SQL[: EXTRACTION_SQL.index("SELECT rpad")] + """, b AS (SELECT *, CAST(substr(tx_signature, 2) AS BIGINT) // 3 % 2 = 0 AS early FROM u),
+c AS (SELECT 0 AS batch, * FROM b WHERE early UNION ALL SELECT 1, * FROM b)
+SELECT CAST(batch AS BIGINT) AS batch, count(*) FILTER (slab_address NOT IN ('M03', 'M17') AND (batch = 0 OR NOT early)) AS indexed,
+ count(*) FILTER (slab_address NOT IN ('M03', 'M17') AND batch = 1 AND early) AS skipped, count(*) FILTER (slab_address = 'M17') AS blocked,
+ count(*) FILTER (slab_address = 'M03') AS failed, CAST(1 - batch AS BIGINT) AS rejected FROM c GROUP BY batch"""
+
 QUERIES = {
+    "ingest_counters": (ingest_counters, oracle(COUNTERS_SQL)),
     "registry_versions": (registry_versions, oracle("SELECT * FROM (" + " UNION ALL ".join(VERSIONS_SQL.format(n=n, w=w) for n, w in ((1, "network = 'devnet'"), (2, "true"), (3, "status <> 'closed'"))) + ")")),
     "registry_changes": (lambda s, d: registry(s, d).changes(1, 3, "slab_address").select("op", "slab_address"), oracle("SELECT CASE WHEN network = 'devnet' THEN 'DELETE' ELSE 'INSERT' END AS op, slab_address FROM mk WHERE (network = 'devnet') <> (status <> 'closed')")),
     "footer_counts": (footers, "SELECT event_id % 2 AS half, count(*) AS n, min(event_id) AS min_event_id, max(event_id) AS max_event_id FROM events GROUP BY 1"),
