@@ -47,9 +47,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
+    left_behind.setdefault(spark.sparkContext.applicationId, []).append(path)
     return out
 
 
+#: Paths of the tables that this process has staged, by application.
+left_behind: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes all tables that this application has staged so far, and returns their number. For callers whose results are
+    written: DataFrames of this subpackage read such tables until then."""
+    paths = left_behind.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
+
+
 def unstage(df: DataFrame) -> None:
     """Deletes the files of a staged table that no later plan reads."""
     spark, path = df.sparkSession, df.staged_path

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from fillforge.llm import bpe, embeddings, language, licenses, minhash, mixing, passages, quality, queries, tokenfiles, weaklabels
-from fillforge.llm.common import components
+from fillforge.llm.common import components, release, staged, unstage
 
 WORD_BPE, BYTE_BPE = (str(public_tokenizers.path(x)) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 DOC = "doc_id long, text string, lang string, source string, n_chars long, k int, target string, _row string"
@@ -77,6 +77,14 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_staged_tables_can_be_released(spark):
+    tables = [staged(spark.range(3), "some") for _ in range(2)]
+    unstage(tables[0])
+    assert tables[1].count() == 3 and release(spark) >= 2 and release(spark) == 0
+    where = spark._jvm.org.apache.hadoop.fs.Path(tables[1].staged_path)
+    assert not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 # 10: near duplicates
 
 
