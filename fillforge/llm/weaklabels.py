@@ -200,18 +200,35 @@ def looked_at(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 512), pa.array([pattern(t) for t in seen], pa.int32()), pa.array([t.bins.tobytes() for t in seen], pa.binary())], ["id", "pattern", "bins"])
 
 
-def features(bins: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hashed bin and value of the features of some texts: counts of words and of word shapes, each kind of each
-    text to unit length."""
+def counted_bins(bins: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the words' and the shapes' bins of some texts: keys (text, then 0 for words and 1 for shapes, then the
+    bin, as one number) in order, and how often each comes."""
     sizes = np.array([len(x) // 4 for x in bins], np.int64)
     flat = np.frombuffer(b"".join(bins), np.uint32).astype(np.int64)
     row = np.repeat(np.arange(len(bins)), sizes)
-    keys = np.concatenate([(2 * row) << BITS | flat & BINS - 1, (2 * row + 1) << BITS | flat >> BITS])
-    keys, n = np.unique(keys, return_counts=True)
+    return np.unique(np.concatenate([(2 * row) << BITS | flat & BINS - 1, (2 * row + 1) << BITS | flat >> BITS]), return_counts=True)
+
+
+def unit_values(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hashed bin and value of the features of counted texts: logarithms of the counts of words and of word shapes,
+    each kind of each text to unit length."""
     kind, x = keys >> BITS, np.log1p(n)
     return kind >> 1, keys & BINS - 1, x / np.sqrt(np.bincount(kind, x * x))[kind]
 
 
+def features(bins: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return unit_values(*counted_bins(bins))
+
+
+def condensed(batches):
+    """(pattern, key, bins) to (pattern, key, at, n): the counted bins of each text, of which there are 2 * BINS at most
+    however long it is."""
+    for batch in batches:
+        pairs = [counted_bins([raw.as_py()]) for raw in batch.column(2)]
+        more = [pa.array([k.astype(np.uint16).tobytes() for k, _ in pairs], pa.binary()), pa.array([n.astype(np.uint32).tobytes() for _, n in pairs], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *more], ["pattern", "key", "at", "n"])
+
+
 def fit(rows: list, posterior: dict[int, float], epochs: int = 30, seed: int = 1) -> tuple[np.ndarray, float]:
     """Logistic regression on posterior labels by averaged minibatch steps; classes weigh alike."""
     w, bias = np.zeros(BINS), 0.0
@@ -220,7 +237,8 @@ def fit(rows: list, posterior: dict[int, float], epochs: int = 30, seed: int = 1
     y = np.array([posterior[r["pattern"]] for r in rows])
     good = min(max(y.mean(), 1e-3), 1 - 1e-3)
     weight = y / good + (1 - y) / (1 - good)
-    row, at, x = features([bytes(r["bins"]) for r in rows])
+    keys = [np.frombuffer(r["at"], np.uint16).astype(np.int64) + (2 * i << BITS) for i, r in enumerate(rows)]
+    row, at, x = unit_values(np.concatenate(keys), np.concatenate([np.frombuffer(r["n"], np.uint32) for r in rows]))
     off = np.searchsorted(row, np.arange(len(rows) + 1))
     rng, total, steps = np.random.default_rng(seed), np.zeros(BINS), 0
     bias_total = 0.0
@@ -266,7 +284,7 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     One pass looks at each text and writes its vote pattern and hashed words. Votes are counted per pattern, at most
     3 ** len(LABELLERS) of them, and EM runs on the counts. The scorer learns the posteriors of at most `sample`
     documents, those first by a hash of id and words (picked by a threshold for the hash first, so that no task sorts
-    more than about twice as many), and scores all: its words and shapes reach further than the thresholds of the
+    more than about twice as many; each comes as counts of its features, 2 * BINS at most), and scores all: its words and shapes reach further than the thresholds of the
     labellers.
     """
     ship(docs.sparkSession)
@@ -279,7 +297,8 @@ def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key = F.xxhash64("id", "bins")
     below = min(1.0, (1.5 * sample + 200) / max(1, int(n.sum())))
     low = seen.withColumn("key", key).where(F.pmod("key", F.lit(1 << 32)) < F.lit(int(below * (1 << 32)))).dropDuplicates(["key"])
-    rows = low.orderBy(F.pmod("key", F.lit(1 << 32)), "key").limit(sample).select("pattern", "bins").collect()
+    low = low.select("pattern", "key", "bins").mapInArrow(condensed, "pattern int, key long, at binary, n binary")
+    rows = low.orderBy(F.pmod("key", F.lit(1 << 32)), "key").limit(sample).select("pattern", "at", "n").collect()
     w, bias = fit(rows, posterior)
     out = seen.mapInArrow(scored(w, bias, posterior), f"id {kind}, posterior double, score double")
     return out.select(F.col("id").alias(id_col), "posterior", "score", (F.col("score") >= 0.5).alias("kept"))
