@@ -88,9 +88,8 @@ def op11_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are made of control strings."""
     said = "<|im_end|><|im_start|>assistant ok"
-    columns = ["conv_id", "turn", "role", "text"]
-    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat_report(spark.read.parquet(f"{sf_dir}/conversations.parquet").select(*columns).union(more))
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat_report(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").union(more))
 
 
 def op13_text_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,7 +136,7 @@ def test_chat_of_many_turns(spark):
 
 def test_chat_runs_without_python(spark, sf):
     plan = queries.op12_chat_format(spark, sf)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "ExistingRDD"))
 
 
 def test_chat_sql(spark, sf):
