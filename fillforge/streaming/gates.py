@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,49 +27,82 @@ class Gate:
         return self.used <= self.max_n
 
 
-def anchored_gate(claims: DataFrame, keys: list[str], time: str, path: str, hours: float = 24, max_n: int = 1) -> DataFrame:
+#: Claims of a key up to which it is judged in one row.
+FEW = 10_000
+
+
+def anchored_gate(claims: DataFrame, keys: list[str], time: str, path: str, hours: float = 24, max_n: int = 1, few: int = FEW) -> DataFrame:
     """claims with `accepted`: at most max_n per key and window, where a window starts with the first claim after the
     last one ended. Nulls in a key column count as one value. A claim without time is never accepted. path is a new folder
-    for the steps' tables.
+    for the steps' tables. Keys with up to `few` claims are judged by folded_gate, all others by spread_gate."""
+    dated, never = claims.where(F.col(time).isNotNull()), claims.where(F.col(time).isNull()).withColumn("accepted", F.lit(False))
+    counts = dated.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > few).drop("_n")
+    counts.write.parquet(f"{path}/busy")
+    busy = claims.sparkSession.read.schema(counts.schema).parquet(f"{path}/busy")
+    if busy.isEmpty():
+        return folded_gate(dated, keys, time, hours, max_n).union(never)
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    part = lambda how: dated.alias("c").join(busy.alias("b"), same, how)
+    return folded_gate(part("left_anti"), keys, time, hours, max_n).union(spread_gate(part("left_semi"), keys, time, path, hours, max_n)).union(never)
+
+
+def folded_gate(claims: DataFrame, keys: list[str], time: str, hours: float, max_n: int) -> DataFrame:
+    """The gate for keys whose claims fit in a row: sorted there, and folded from one window's start to the next."""
+    length = F.lit(dt.timedelta(hours=hours))
+    row = F.struct(*claims.columns)
+    named = claims.select(F.struct(*keys).alias("_k"), F.struct(F.col(time).alias("t"), row.alias("row")).alias("x"))
+    by_time = lambda a, b: F.when(a["t"] < b["t"], -1).when(a["t"] > b["t"], 1).otherwise(0)
+    sorted_ = named.groupBy("_k").agg(F.array_sort(F.collect_list("x"), by_time).alias("xs"))
+    none = F.struct(F.lit(None).cast(claims.schema[time].dataType).alias("start"), F.lit(0).alias("used"), F.lit(-1).alias("at"), F.array().cast("array<int>").alias("let_in"))
+
+    def step(acc, x):
+        opens = acc["start"].isNull() | (x["t"] >= acc["start"] + length)
+        used, at = F.when(opens, 1).otherwise(acc["used"] + 1), acc["at"] + 1
+        return F.struct(F.when(opens, x["t"]).otherwise(acc["start"]).alias("start"), used.alias("used"), at.alias("at"), F.when(used <= max_n, F.array_append(acc["let_in"], at)).otherwise(acc["let_in"]).alias("let_in"))
+
+    judged = sorted_.select("xs", F.aggregate("xs", none, step)["let_in"].alias("let_in"))
+    each = judged.select("let_in", F.posexplode("xs").alias("at", "x"))
+    return each.select("x.row.*", F.array_contains("let_in", F.col("at")).alias("accepted"))
+
+
+def spread_gate(claims: DataFrame, keys: list[str], time: str, path: str, hours: float, max_n: int) -> DataFrame:
+    """The gate for keys with any number of claims, which never meet in one task.
 
     A window's end, as the number of the first claim at or after it, is found for all claims by one more sort: each claim is
     joined by a probe at its time plus the window, and what stands before a probe, less the probes, is the number. Starts
     are what can be reached over these pointers from the first claims of the keys; pointers that skip 1, 2, 4, ... windows
     reach them in as many rounds as the longest chain has binary digits. All steps deal rows by ranges of key and time or by
-    claim, so a key's claims never meet in one task.
+    claim.
     """
     spark = claims.sparkSession
     step = 0
 
-    def kept(df: DataFrame, name: str) -> DataFrame:
+    def kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
         nonlocal step
         step += 1
-        df.write.parquet(f"{path}/{step:03d}-{name}")
-        return spark.read.parquet(f"{path}/{step:03d}-{name}")
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/{step:03d}-{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{step:03d}-{name}"), seen.get.get("n", 0)
 
-    whole = F.struct(*claims.columns).alias("_row")
-    dated = claims.where(F.col(time).isNotNull()).select(whole, *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(time).alias("_t"))
+    dated = claims.select(F.struct(*claims.columns).alias("_row"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(time).alias("_t"))
     by = [c for c in dated.columns if c.startswith("_k")]
     rows = numbered(dated, [*by, "_t"], f"{path}/claims", "_g")
     probes = rows.select(*by, (F.col("_t") + F.lit(dt.timedelta(hours=hours))).alias("_t"), F.lit(0).alias("_kind"), "_g")
     both = probes.union(rows.select(*by, "_t", F.lit(1).alias("_kind"), "_g"))
     placed = numbered(both, [*by, "_t", "_kind", "_g"], f"{path}/ends", "_u").where("_kind = 0")
-    ends = kept(placed.select(F.col("_g").alias("g"), (F.col("_u") - F.col("_g")).alias("end")), "ends")
-    total = ends.count()
-    reached = kept(rows.groupBy(*by).agg(F.min("_g").alias("g")).select("g"), "reached")
+    ends, total = kept(placed.select(F.col("_g").alias("g"), (F.col("_u") - F.col("_g")).alias("end")), "ends")
+    reached, n = kept(rows.groupBy(*by).agg(F.min("_g").alias("g")).select("g"), "reached")
     nodes = reached.union(ends.select("end")).distinct()
-    skips = kept(ends.join(nodes, "g", "left_semi").where(F.col("end") < total), "skips")
-    n = reached.count()
+    skips, _ = kept(ends.join(nodes, "g", "left_semi").where(F.col("end") < total), "skips")
     while True:
-        reached = kept(reached.union(reached.join(skips, "g").select("end")).distinct(), "reached")
-        if (more := reached.count()) == n:
+        reached, more = kept(reached.union(reached.join(skips, "g").select("end")).distinct(), "reached")
+        if more == n:
             break
         n = more
         further = skips.select(F.col("g").alias("end"), F.col("end").alias("later"))
-        skips = kept(skips.join(further, "end").select("g", F.col("later").alias("end")), "skips")
+        skips, _ = kept(skips.join(further, "end").select("g", F.col("later").alias("end")), "skips")
     let_in = reached.join(ends, "g").select(F.explode(F.sequence("g", F.least(F.col("g") + (max_n - 1), F.col("end") - 1))).alias("_g"), F.lit(True).alias("_in"))
-    judged = rows.join(let_in, "_g", "left").select("_row.*", F.coalesce("_in", F.lit(False)).alias("accepted"))
-    return judged.union(claims.where(F.col(time).isNull()).withColumn("accepted", F.lit(False)))
+    return rows.join(let_in, "_g", "left").select("_row.*", F.coalesce("_in", F.lit(False)).alias("accepted"))
 
 
 class GateProcessor(StatefulProcessor):

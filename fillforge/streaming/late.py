@@ -84,6 +84,7 @@ class LiveCandles:
             new = new.unionByName(partial_bars(again, self.interval))
             anew = dirty.count()
         write(new, "bars", "bucket")
+        self.folder.write("schema", new.schema.jsonValue(), replace=True)
         self.folder.write(f"log/{number:012d}", {"seen": now, "dirty": anew, "days": sorted(str(x) for x in days)}, replace=True)
 
     def run(self, trades: DataFrame, checkpoint: str) -> StreamingQuery:
@@ -93,9 +94,9 @@ class LiveCandles:
 
     def bars(self) -> DataFrame:
         """The newest state of every bar."""
-        path = f"{self.folder.path}/bars"
         names = [*BAR, "open", "high", "low", "close", "volume", "trades"]
-        return self.spark.read.parquet(path).groupBy(*BAR).agg(F.max_by(F.struct(*names[2:]), "batch").alias("x")).select(*BAR, "x.*")
+        schema = T.StructType.fromJson(self.folder.read("schema"))
+        return self.stored("bars", 1 << 62, schema).groupBy(*BAR).agg(F.max_by(F.struct(*names[2:]), "batch").alias("x")).select(*BAR, "x.*")
 
     def counters(self) -> list[dict]:
         return [self.folder.read(f"log/{n}") for n in self.folder.names("log")]

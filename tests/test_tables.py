@@ -140,11 +140,13 @@ def let_in(df):
     return {(r["k"], r["kind"], r["at"]): r["count"] for r in df.where("accepted").groupBy("k", "kind", "at").count().collect()}
 
 
+@pytest.mark.parametrize("few", [0, 190, 10_000])
 @pytest.mark.parametrize(("hours", "max_n"), [(24, 1), (5.5, 3)])
-def test_gate_equals_brute_force(spark, hours, max_n):
+def test_gate_equals_brute_force(spark, hours, max_n, few):
+    """All keys spread, some, and none."""
     rows = some_claims()
     df = spark.createDataFrame([*rows, (7, "a", None, -1), (None, None, None, -2)], CLAIM)
-    got = gates.anchored_gate(df, ["k", "kind"], "at", shared_path(spark, "gate"), hours, max_n)
+    got = gates.anchored_gate(df, ["k", "kind"], "at", shared_path(spark, "gate"), hours, max_n, few)
     assert got.count() == len(rows) + 2 and got.where("at is null and accepted").count() == 0
     assert let_in(got) == brute_gate(rows, hours, max_n)
     assert gates.anchored_gate(df.limit(0), ["k"], "at", shared_path(spark, "gate")).count() == 0
@@ -154,7 +156,7 @@ def test_one_hot_key_is_spread_over_tasks(spark):
     """The sorts deal rows by key and time: no partition of one key's claims holds much more than its share."""
     rows = spark.range(8000).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("at"), "id")
     path = shared_path(spark, "gate")
-    assert gates.anchored_gate(rows, ["k"], "at", path).where("accepted").count() == -(-8000 // (24 * 60))
+    assert gates.anchored_gate(rows, ["k"], "at", path, few=100).where("accepted").count() == -(-8000 // (24 * 60))
     for name, n in (("claims", 8000), ("ends", 16000)):
         sizes = [r["count"] for r in spark.read.parquet(f"{path}/{name}").groupBy(F.shiftright("_id", 33)).count().collect()]
         assert len(sizes) == 4 and max(sizes) < n / 2
