@@ -6,7 +6,10 @@ import threading
 
 import pytest
 from compare import rows_of, rows_of_sql
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from fillforge.operators.decode import flagged_trades
 from fillforge.operators.mutate import with_outcomes
@@ -199,6 +202,71 @@ def test_four_batches_give_what_one_gives(spark, rocks):
     assert kept in ([], ["closing"])  # the gates of all idle keys are gone
 
 
+def test_a_gate_stays_while_claims_of_its_window_wait(spark, rocks):
+    """The watermark passes the window's end at 0:30 while the pane of a claim from 0:10 is open."""
+    at = lambda day, hour, minute: dt.datetime(2024, 1, day, hour, minute)
+    files = [[(7, "a", at(1, 0, 30), 0)], [(7, "a", at(2, 0, 10), 1), (7, "a", at(2, 1, 45), 2)], [(7, "b", at(2, 1, 50), 3)]]
+    got, _ = gated(spark, files)
+    assert let_in(got) == brute_gate([row for rows in files for row in rows]) and got.count() == 4
+
+
+class Held:
+    """A gate's state in memory, which counts its calls."""
+
+    def __init__(self):
+        self.calls, self.values = 0, {}
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def getMapState(self, name, *schemas):  # noqa: N802
+        return self
+
+    def call(self, change, *args):
+        self.calls += 1
+        return change(*args)
+
+    def get(self):
+        return self.call(self.values.get, None)
+
+    def update(self, value):
+        self.call(self.values.__setitem__, None, value)
+
+    def clear(self):
+        self.call(self.values.pop, None, None)
+
+    def getValue(self, key):  # noqa: N802
+        return self.call(self.values.get, key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.call(self.values.__setitem__, key, value)
+
+    def removeKey(self, key):  # noqa: N802
+        self.call(self.values.pop, key)
+
+    def registerTimer(self, ms):  # noqa: N802
+        self.call(lambda: None)
+
+
+@pytest.mark.parametrize("n", [3000, 25_500])
+def test_a_key_takes_few_calls_of_the_state_store(n):
+    """Calls grow with the entries of a busy key, not with its claims; its claims are all judged."""
+    out = T.StructType().add("k", "long").add("_us", "long")
+    r, state = random.Random(5), Held()
+    claims_ = [Row(k=1, _us=r.randrange(n) * 60_000_000) for _ in range(n)]
+    gate = gates.GateProcessor(out, 24, 1, 1)
+    gate.init(state)
+    got = [*gate.handleInputRows((1,), iter(claims_), TimerValues(0, 0))]
+    plain, want = gates.Gate(24, 1), {}
+    for us in sorted(c["_us"] for c in claims_):
+        want[us] = want.get(us, 0) + plain.admits(us)
+    seen = {us: 0 for us in want}
+    for row in got:
+        seen[row[1]] += row[2]
+    assert len(got) == n and seen == want and list(state.values) == [None]
+    assert state.calls <= 3 + 3 * -(-n // gates.ENTRY)
+
+
 def test_stream_gate_sql_with_null_keys(spark, sf):
     """GATE_SQL and the batch form agree where keys are null, too."""
     events = spark.read.parquet(f"{sf}/events.parquet").withColumn("user_id", F.when(F.col("user_id") % 3 > 0, F.col("user_id")))
