@@ -22,20 +22,31 @@ def number(x: int | str) -> Column:
     return F.lit(str(x)).cast("decimal(38,0)")
 
 
-def reversed_hex(hexed: Column) -> Column:
-    """Hex text with its bytes in reverse. reverse() itself would turn BINARY into STRING and spoil it."""
-    return F.array_join(F.reverse(F.regexp_extract_all(hexed, F.lit("(..)"))), "")
+def reversed_bytes(data: Column) -> Column:
+    """Bytes in reverse, by way of a text with a character for each. reverse() itself would turn BINARY into STRING and
+    spoil it."""
+    return F.encode(F.reverse(F.decode(data, "ISO-8859-1")), "ISO-8859-1")
+
+
+def hex_le(data: Column, offset: Column | int, size: int) -> Column:
+    """The little-endian integer of `size` bytes at a byte offset as 2 * size hex digits; NULL where data is too short."""
+    at = F.lit(offset) if isinstance(offset, int) else offset
+    part = F.substring(data, at + 1, F.lit(size))
+    return F.when(F.octet_length(data) >= at + size, F.hex(part if size == 1 else reversed_bytes(part)))
+
+
+def from_hex(digits: Column) -> Column:
+    """The number of up to 16 hex digits, as DECIMAL(20,0)."""
+    return F.conv(digits, 16, 10).cast("decimal(20,0)")
 
 
 def uint_le(data: Column, offset: Column | int, size: int) -> Column:
     """Unsigned integer of up to 8 bytes at a byte offset, as DECIMAL(20,0); NULL where data is too short."""
-    at = F.lit(offset) if isinstance(offset, int) else offset
-    part = F.hex(F.substring(data, at + 1, F.lit(size)))
-    return F.when(F.octet_length(data) >= at + size, F.conv(reversed_hex(part), 16, 10).cast("decimal(20,0)"))
+    return from_hex(hex_le(data, offset, size))
 
 
 def byte_at(data: Column, offset: Column | int) -> Column:
-    return uint_le(data, offset, 1).cast("int")
+    return F.conv(hex_le(data, offset, 1), 16, 10).cast("int")
 
 
 def u128_le(data: Column, offset: int) -> Column:
@@ -46,13 +57,19 @@ def u128_le(data: Column, offset: int) -> Column:
 
 def i128_parts(data: Column, offset: Column | int) -> Column:
     """Signed 128-bit integer as struct(negative, high, low): the two 64-bit halves of its absolute value."""
-    at = F.lit(offset) if isinstance(offset, int) else offset
-    low, high = (uint_le(data, at + d, 8).cast("decimal(38,0)") for d in (0, 8))
-    negative = high >= number(2**63)
-    carry = F.when(low == 0, 1).otherwise(0)
-    high_abs = F.when(negative, number(2**64 - 1) - high + carry).otherwise(high)
-    low_abs = F.when(negative & (low != 0), number(TWO_64) - low).otherwise(low)
-    return F.struct(negative.alias("negative"), high_abs.cast("decimal(38,0)").alias("high"), low_abs.cast("decimal(38,0)").alias("low"))
+    return i128_of_hex(hex_le(data, offset, 16))
+
+
+def i128_of_hex(digits: Column) -> Column:
+    """i128_parts of the number's 32 hex digits. Its fields are put into every expression that uses them, so digits had
+    better be a column of its own. The absolute value of a negative number is its complement and one more."""
+    negative = digits >= "8"
+    positive = F.when(negative, F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(digits)
+    more = F.when(negative, 1).otherwise(0)
+    carried = negative & digits.endswith("0" * 16)
+    high = from_hex(F.left(positive, F.lit(16))) + F.when(carried, 1).otherwise(0)
+    low = F.when(carried, 0).otherwise(from_hex(F.right(positive, F.lit(16))) + more)
+    return F.struct(negative.alias("negative"), high.cast("decimal(38,0)").alias("high"), low.cast("decimal(38,0)").alias("low"))
 
 
 def abs_decimal(parts: Column) -> Column:
@@ -68,9 +85,10 @@ def abs_text(parts: Column) -> Column:
 
 def le_bytes(value: Column, size: int) -> Column:
     """A BIGINT as `size` little-endian bytes in two's complement."""
-    hexed = F.lpad(F.hex(value.cast("long")), 16, "0")
-    fill = F.when(value < 0, F.lit("FF" * max(0, size - 8))).otherwise(F.lit("00" * max(0, size - 8)))
-    return F.unhex(F.concat(F.substring(reversed_hex(hexed), 1, 2 * min(size, 8)), fill))
+    low = F.substring(reversed_bytes(F.unhex(F.lpad(F.hex(value.cast("long")), 16, "0"))), 1, min(size, 8))
+    if size <= 8:
+        return low
+    return F.concat(low, F.when(value < 0, F.lit(b"\xff" * (size - 8))).otherwise(F.lit(bytes(size - 8))))
 
 
 def decode58(text: str | None) -> bytes | None:

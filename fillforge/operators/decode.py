@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fillforge.functions.binary import ADDRESS, SIGNATURE, abs_decimal, abs_text, byte_at, from_base58, i128_parts, uint_le
+from fillforge.functions.binary import ADDRESS, SIGNATURE, abs_decimal, abs_text, byte_at, from_base58, hex_le, i128_of_hex, uint_le
 from fillforge.functions.clean import price_from_e6, sane_price_e6
 from fillforge.sources.scans import MAGIC, OFFSETS
 
@@ -47,9 +47,10 @@ def side_of(size: Column) -> Column:
     return F.when(size["negative"], "short").otherwise("long")
 
 
-def in_range(size: Column) -> Column:
-    """Not zero, and at most 2^127 - 1 either way."""
-    return ((size["high"] > 0) | (size["low"] > 0)) & (size["high"] < F.lit(str(2**63)).cast("decimal(38,0)"))
+def in_range(digits: Column) -> Column:
+    """Not zero, and at most 2^127 - 1 either way, told from the 32 hex digits: a filter is moved below the columns that it
+    names and computes them again, so it had better name one of them once."""
+    return ~digits.isin("0" * 32, "8" + "0" * 31)
 
 
 def decode_legs(decoded: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def decode_legs(decoded: DataFrame) -> DataFrame:
     count = F.when(single & (F.octet_length(b) >= SINGLE_BYTES), 1).when(batch, legs).when(crank & cranked, 1).otherwise(0)
     each = decoded.withColumn("_n", count).where("_n > 0").withColumn("leg", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     start = F.when(single, 1).when(crank, 2).otherwise(LEG_START + F.col("leg") * LEG_BYTES)
-    each = each.withColumns({"is_liquidation": crank, "_at": start}).withColumn("_size", i128_parts(b, F.col("_at") + 2)).where(in_range(F.col("_size")) | marker)
+    each = each.withColumns({"is_liquidation": crank, "_at": start}).withColumn("_hex", hex_le(b, F.col("_at") + 2, 16)).withColumn("_size", i128_of_hex(F.col("_hex"))).where(in_range(F.col("_hex")) | marker)
     trader = F.get("accounts", F.when(marker, 2).otherwise(0))
     slab = F.get("accounts", F.when(F.col("tag").isin(*MARKET_IS_THIRD), 2).otherwise(1))
     out = each.select("signature", *ORDER, trader.alias("trader"), slab.alias("slab_address"), uint_le(b, F.col("_at"), 2).cast("int").alias("asset_index"), side_of(F.col("_size")).alias("side"), abs_text(F.col("_size")).alias("size_text"), abs_decimal(F.col("_size")).alias("size"), "is_liquidation")
@@ -101,10 +102,11 @@ def mark_prices(accounts: DataFrame, layouts: DataFrame) -> DataFrame:
     b = F.col("bytes")
     versioned = F.hex(F.substring(b, 1, 8)) == MAGIC
     known = accounts.join(layouts, F.octet_length(b) == F.col("data_len"), "left")
-    read = lambda off: sane_price_e6(uint_le(b, off, 8))
-    by_layout = F.coalesce(read(F.col("engine_price_off")), read(F.col("config_price_off")))
-    price = F.when(versioned, read(OFFSETS["mark_price"])).otherwise(by_layout)
-    return known.withColumn("mark_price", price_from_e6(price)).drop(*layouts.columns)
+    places = {"_versioned": OFFSETS["mark_price"], "_engine": F.col("engine_price_off"), "_config": F.col("config_price_off")}
+    read = known.withColumns({name: uint_le(b, off, 8) for name, off in places.items()})  # each is named often below
+    by_layout = F.coalesce(sane_price_e6(F.col("_engine")), sane_price_e6(F.col("_config")))
+    price = F.when(versioned, sane_price_e6(F.col("_versioned"))).otherwise(by_layout)
+    return read.withColumn("mark_price", price_from_e6(price)).drop(*layouts.columns, *places)
 
 
 def transaction_prices(txs: DataFrame, layouts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fillforge.functions import clean
-from fillforge.functions.binary import abs_text, i128_parts, le_bytes, u128_le, uint_le
+from fillforge.functions.binary import abs_text, hex_le, i128_of_hex, le_bytes, u128_le, uint_le
 from fillforge.operators import decode, enrich, registry, repair
 from fillforge.plans import jobs
 from fillforge.plans.fixtures import AS_OF, fx, mk, oracle, table
@@ -105,8 +105,8 @@ MARK_SQL = """SELECT event_id, CASE WHEN price > 0 THEN CAST(price AS DOUBLE) EN
 
 def wide_integers(s, d):
     data = F.concat(le_bytes(F.col("l_orderkey"), 8), le_bytes(-F.col("l_partkey") - 1, 16), le_bytes(F.col("l_suppkey"), 16))
-    rows = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", data.alias("b"))
-    signed = i128_parts(F.col("b"), 8)
+    rows = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", data.alias("b")).withColumn("digits", hex_le(F.col("b"), 8, 16))
+    signed = i128_of_hex(F.col("digits"))
     return rows.select("l_orderkey", "l_linenumber", uint_le(F.col("b"), 0, 8).cast("long").alias("u64"), signed["negative"].alias("negative"), abs_text(signed).alias("abs_text"), u128_le(F.col("b"), 24).cast("long").alias("u128"))
 
 
@@ -271,7 +271,7 @@ def size_range(s, d):
     """Zero, the smallest number (out of range), its neighbour, the largest one, and small ones."""
     halves = "case event_id % 5 when 2 then 1 when 3 then -1 when 4 then event_id else 0 end as low, case event_id % 5 when 1 then -9223372036854775807 - 1 when 2 then -9223372036854775807 - 1 when 3 then 9223372036854775807 else 0 end as high"
     rows = table(s, d, "events").selectExpr("event_id", *halves.split(", ")).select("event_id", F.concat(le_bytes(F.col("low"), 8), le_bytes(F.col("high"), 8)).alias("b"))
-    sized = rows.withColumn("size", i128_parts(F.col("b"), 0)).where(decode.in_range(F.col("size")))
+    sized = rows.withColumn("digits", hex_le(F.col("b"), 0, 16)).withColumn("size", i128_of_hex(F.col("digits"))).where(decode.in_range(F.col("digits")))
     return sized.select("event_id", decode.side_of(F.col("size")).alias("side"), abs_text(F.col("size")).alias("size_text"))
 
 

@@ -239,3 +239,20 @@ def test_overflow_gives_null(spark):
         assert [r["volume"] for r in rollup.candles(trades, "1 hour").collect()] == [None] == [r["volume"] for r in rollup.leaderboard(trades).collect()]
     exact = spark.createDataFrame([("M", "T", decimal.Decimal(10) ** 25, decimal.Decimal("2.5"), "devnet", False, when, "S", 0, 0)], schema.format("decimal(38,0)", "decimal(38,6)"))
     assert rollup.volume_24h_usd(exact, markets, "devnet", as_of).first()["volume_24h_usd"] == 2.5e19
+
+
+def test_an_integer_is_read_few_times(spark, sf):
+    """The bytes of a 128-bit number are turned round once for the filter and once for all columns made of it."""
+    from fillforge.plans.market_queries import size_range
+
+    plan = size_range(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reverse(") + plan.count("regexp_extract_all(") <= 6
+
+
+def test_an_accounts_price_is_read_few_times(spark):
+    accounts = spark.createDataFrame([(bytearray(range(26)),)], "bytes binary")
+    layouts = spark.createDataFrame([(26, 10, 18)], "data_len int, engine_price_off int, config_price_off int")
+    out = decode.mark_prices(accounts, layouts).where("mark_price is not null")
+    assert out.count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reverse(") + plan.count("regexp_extract_all(") <= 6
