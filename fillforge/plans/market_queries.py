@@ -10,7 +10,7 @@ from fillforge.operators import decode, enrich, registry, repair
 from fillforge.plans import jobs
 from fillforge.plans.fixtures import AS_OF, fx, mk, oracle, table
 from fillforge.plans.rawdata import PROGRAM, account_data, address, address_sql, instruction, market_accounts, raw_transactions, token_pairs
-from fillforge.plans.shared import shared_path
+from fillforge.plans.shared import shared_path, written
 from fillforge.sources import deliveries, scans
 
 BODIES = """SELECT event_id, CASE event_id % 8
@@ -56,7 +56,7 @@ def no_layouts(s):
 
 def extraction(s, d):
     trades = fx(s, d)
-    txs = raw_transactions(trades, F.col("leg_index") == 2)
+    txs = written(raw_transactions(trades, F.col("leg_index") == 2), "transactions")
     known = trades.select(address(F.col("slab_address")).alias("slab_address")).where("slab_address not like 'Mz3%'")
     blocked = known.where("slab_address like 'M17%'")
     out = decode.extract_trades(txs.union(txs), [PROGRAM], known, blocked, no_layouts(s))
