@@ -11,7 +11,7 @@ from fillforge.plans.fixtures import AS_OF, fx, mk, oracle, table
 from fillforge.plans.market_queries import EXTRACTION_SQL, no_layouts
 from fillforge.plans.rawdata import PROGRAM, address, raw_transactions
 from fillforge.plans.rollup_queries import FILLS, VOLUME_SQL, as_of, bars_sql
-from fillforge.plans.shared import shared_path
+from fillforge.plans.shared import shared_path, written
 from fillforge.plans.stream_queries import stored_columns
 from fillforge.sources import live, partitioned, scans
 from fillforge.streaming.ingest import Ingest
@@ -94,12 +94,11 @@ SELECT *, rank() OVER (ORDER BY length(volume) DESC, volume DESC) AS rank FROM t
 
 
 def live_ingest(s, d):
-    """Each transaction comes by one, two or all of the three paths, whose files land in three folders; a sink gets what was
-    stored. The result is the target."""
+    """Each transaction comes by one, two or all of the three paths, whose files land in three folders, each half of them
+    before a run of the stream. The result is the target."""
     trades = fx(s, d)
-    txs = raw_transactions(trades, F.col("leg_index") == 2)
+    txs = written(raw_transactions(trades, F.col("leg_index") == 2), "transactions")
     landed = {name: shared_path(s, name) for name in ("delivered", "notified", "polled")}
-    txs.cache()
     spread = F.pmod(F.hash("signature"), F.lit(7))
     seen = lambda df, late: df.withColumn("seen_at", F.timestamp_seconds(F.lit(1_750_000_000 + late)))
     rpc_group = lambda g, i: F.struct(i.alias("index"), g["instructions"].alias("instructions"))
@@ -108,16 +107,21 @@ def live_ingest(s, d):
         F.struct(F.transform("innerInstructions", rpc_group).alias("innerInstructions")).alias("meta"),
         F.col("accountData"),
     )
-    seen(txs.where(spread.isin(0, 1, 2, 3)).select(F.to_json(F.array(F.struct(*live.COLUMNS))).alias("body")), 0).repartition(2).write.parquet(landed["delivered"])
-    seen(txs.where(spread.isin(2, 3, 4, 5)).select(F.to_json(F.struct(F.lit("transactionNotification").alias("method"), F.struct(result.alias("result")).alias("params"))).alias("body")), 20).repartition(2).write.parquet(landed["notified"])
-    seen(txs.where(spread.isin(0, 3, 5, 6)).select(F.to_json(F.struct(result.alias("result"))).alias("body")), 90).repartition(2).write.parquet(landed["polled"])
-    txs.unpersist()
-    arriving = {name: s.readStream.schema("body string, seen_at timestamp").option("maxFilesPerTrigger", 1).parquet(path) for name, path in landed.items()}
+    bodies = {
+        "delivered": ((0, 1, 2, 3), 0, F.array(F.struct(*live.COLUMNS))),
+        "notified": ((2, 3, 4, 5), 20, F.struct(F.lit("transactionNotification").alias("method"), F.struct(result.alias("result")).alias("params"))),
+        "polled": ((0, 3, 5, 6), 90, F.struct(result.alias("result"))),
+    }
     lags = {"delivered": "1 minute", "notified": "1 minute", "polled": "10 minutes"}
-    one = live.live_transactions({name: (getattr(live, name)(df), lags[name]) for name, df in arriving.items()})
     known = trades.select(address(F.col("slab_address")).alias("slab_address")).where("slab_address not like 'Mz3%'").distinct()
     job = Ingest(KeyedTarget(s, shared_path(s, "target"), buckets=8, parts=("network",)), [PROGRAM], lambda: known, lambda: known.where("slab_address like 'M17%'"), no_layouts(s), network="devnet")
-    job.run(one, shared_path(s, "checkpoint"))
+    checkpoint = shared_path(s, "checkpoint")
+    for half in (0, 1):
+        for name, (slots, late, body) in bodies.items():
+            part = txs.where(spread.isin(*slots) & (F.pmod(F.hash("signature"), F.lit(2)) == half))
+            seen(part.select(F.to_json(body).alias("body")), late).write.mode("append").parquet(landed[name])
+        arriving = {name: s.readStream.schema("body string, seen_at timestamp").parquet(path) for name, path in landed.items()}
+        job.run(live.live_transactions({name: (getattr(live, name)(df), lags[name]) for name, df in arriving.items()}), checkpoint)
     return stored_columns(job.target.read().where("network = 'devnet'"))
 
 
@@ -125,7 +129,7 @@ def ingest_counters(s, d):
     """The counters of two batches of deliveries: every other transaction and a bad delivery, then all of them."""
     trades = fx(s, d)
     txs = raw_transactions(trades, F.col("leg_index") == 2)
-    bodies = txs.select("signature", F.to_json(F.array(F.struct(*live.COLUMNS))).alias("body"))
+    bodies = written(txs.select("signature", F.to_json(F.array(F.struct(*live.COLUMNS))).alias("body")), "bodies")
     first = trades.where("floor(event_id / 3) % 2 = 0").select(address(F.col("tx_signature"), 64).alias("signature")).distinct()
     slabs = trades.select(address(F.col("slab_address")).alias("slab_address")).distinct()
     target = KeyedTarget(s, shared_path(s, "target"), buckets=8)

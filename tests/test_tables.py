@@ -1,6 +1,7 @@
 """Versioned and keyed tables, ingest under failure, late rows, claim gates: state across batches, rivals and crashes."""
 
 import datetime as dt
+import os
 import random
 import threading
 
@@ -15,6 +16,7 @@ from fillforge.operators.decode import flagged_trades
 from fillforge.operators.mutate import with_outcomes
 from fillforge.operators.numbering import numbered
 from fillforge.operators.versions import Conflict, Versions
+from fillforge.plans import stream_queries, table_queries
 from fillforge.plans.fixtures import fx, oracle
 from fillforge.plans.market_queries import EXTRACTION_SQL, no_layouts
 from fillforge.plans.rawdata import PROGRAM, address, raw_transactions
@@ -374,3 +376,19 @@ def test_late_rows_make_only_their_bars_anew(spark):
     live.store(spark.createDataFrame(files[1], schema), 1)  # a batch that runs again
     assert spark.read.parquet(f"{live.folder.path}/bars").where("batch = 1").count() == again
     assert sorted({r["ingested_at"].timestamp() for r in spark.read.parquet(f"{live.folder.path}/trades").collect()}) == [0, 1, 2]
+
+
+@pytest.mark.parametrize(("module", "name", "batches", "folders"), [(stream_queries, "growing_registry", 2, ["landed"]), (stream_queries, "ingest", 3, ["landed"]), (stream_queries, "late_rows", 3, ["landed"]), (table_queries, "live_ingest", 2, ["delivered", "notified", "polled"])])
+def test_batches_land_in_as_many_files_as_they_have_tasks(spark, sf, monkeypatch, module, name, batches, folders):
+    """No batch goes through one task on its way to the stream."""
+    paths, path = {}, shared_path(spark, "events")
+    spark.read.parquet(f"{sf}/events.parquet").repartition(4).write.parquet(f"{path}/events.parquet")
+    monkeypatch.setattr(module, "shared_path", lambda s, kind: paths.setdefault(kind, shared_path(s, kind)))
+    coalescing = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalescing, "false")
+    try:
+        getattr(module, name)(spark, path)
+    finally:
+        spark.conf.unset(coalescing)
+    for folder in folders:
+        assert sum(f.endswith(".parquet") for f in os.listdir(paths[folder].removeprefix("file://"))) > batches
