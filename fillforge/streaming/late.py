@@ -13,6 +13,7 @@ from fillforge.operators.rollup import FILLS, total, trade_order
 from fillforge.sources.files import Folder
 
 BAR = ["slab_address", "bucket"]
+SPREAD = 16  # shares of a day, each sorted and written by one task: not what a file of the input holds
 
 
 def partial_bars(trades: DataFrame, interval: str) -> DataFrame:
@@ -55,7 +56,8 @@ class LiveCandles:
     def store(self, batch: DataFrame, number: int) -> None:
         write = lambda df, kind, time: df.withColumn("day", F.to_date(time)).write.mode("overwrite").partitionBy("day").parquet(f"{self.folder.path}/{kind}/batch={number}")
         rows = batch.withColumn("ingested_at", self.ingested_at(number))
-        write(rows, "trades", "created_at")
+        spread = rows.repartition(F.to_date("created_at"), F.pmod(F.xxhash64("created_at", "slab_address"), F.lit(SPREAD)))
+        write(spread, "trades", "created_at")
         trades = self.stored("trades", number + 1, rows.schema)
         own = trades.where(F.col("batch") == number)
         done = [n for n in self.folder.names("log") if int(n) < number]
